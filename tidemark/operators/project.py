@@ -61,6 +61,17 @@ def schema_drift(spark: SparkSession, source: T.StructType, target: T.StructType
     return spark.createDataFrame(drift(source, target), DRIFT_SCHEMA)
 
 
+def drift_report(source: DataFrame, target: T.StructType) -> DataFrame:
+    """The drift rows, with the number of non-null values in each added column."""
+    rows = schema_drift(source.sparkSession, source.schema, target)
+    added = [name for change, name, _, _ in drift(source.schema, target) if change == "added"]
+    if not added:
+        return rows.withColumn("non_null_rows", F.lit(None).cast("bigint"))
+    counted = source.agg(*[F.count(c).alias(c) for c in added])
+    per_column = counted.unpivot([], added, "column_name", "non_null_rows")
+    return rows.join(per_column, "column_name", "left")
+
+
 def json_drift(df: DataFrame, json_column: str, known: Iterable[str]) -> DataFrame:
     """Keys found in a JSON column and not known yet, with the rows that carry them."""
     keys = df.select(F.explode(F.expr(f"json_object_keys(`{json_column}`)")).alias("column_name"))

@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.compare import any_of, differs
+from tidemark.functions.compare import any_null, any_of, differs
 from tidemark.functions.hashing import row_checksum
 from tidemark.functions.sizing import fits_broadcast
 from tidemark.operators.joins import lookup_join
-from tidemark.operators.windows import latest_per_key, null_spread
+from tidemark.operators.windows import latest_per_key
 
 ACTION = "_action"
 
@@ -79,8 +79,8 @@ def merge(
     if batch_fits:
         joined = target.withColumn("_t", F.lit(True)).join(F.broadcast(right), keys, "left")
     else:
-        left = target.withColumn("_t", F.lit(True)).withColumn("_spread", null_spread(target, keys))
-        right = source.select(*keys, null_spread(source, keys).alias("_spread"), F.struct(*keys, *payload).alias("_s"))
+        left = target.withColumn("_t", F.lit(True)).withColumn("_spread", _null_salt(target, keys))
+        right = source.select(*keys, _null_salt(source, keys).alias("_spread"), F.struct(*keys, *payload).alias("_s"))
         joined = left.join(right, [*keys, "_spread"], "full" if insert else "left").drop("_spread")
 
     is_target = F.col("_t").isNotNull()
@@ -110,6 +110,11 @@ def merge(
     return out.unionByName(inserts)
 
 
+def _null_salt(df: DataFrame, keys: list[str]) -> Column:
+    """Spreads rows with a null key, which match nothing, over all tasks."""
+    return F.when(any_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
+
+
 def _merged(name, keys, payload, target_columns, immutable, stamp) -> Column:
     if name in keys:
         return F.col(name)
