@@ -12,21 +12,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BUCKETS = 4096
+ROWS_PER_BUCKET = 250_000
 SAMPLED_ROWS_PER_BUCKET = 16
 FAN = 64
 
 
-def bucket_count(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(partitions, MAX_BUCKETS))
+def bucket_count(rows: int) -> int:
+    """Enough buckets for one task each; 1 while a single task can hold all rows."""
+    return max(1, min(MAX_BUCKETS, -(-rows // ROWS_PER_BUCKET)))
 
 
-def split_points(df: DataFrame, order_by: list[str], buckets: int, seed: int = 11) -> list[tuple]:
-    """At most ``buckets - 1`` sorted key tuples that cut ``df`` into even ranges."""
-    if buckets < 2:
-        return []
+def split_points(df: DataFrame, order_by: list[str], seed: int = 11) -> list[tuple]:
+    """Sorted key tuples that cut ``df`` into even ranges; none for a small frame.
+
+    At most ``MAX_BUCKETS * SAMPLED_ROWS_PER_BUCKET`` keys, give or take the
+    sampling error, reach the driver.
+    """
     keys = df.select(*order_by)
     total = keys.count()
+    buckets = bucket_count(total)
+    if buckets < 2:
+        return []
     wanted = buckets * SAMPLED_ROWS_PER_BUCKET
     if total > wanted:
         keys = keys.sample(fraction=wanted / total, seed=seed)

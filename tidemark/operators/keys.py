@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ranges import bucket_count, bucket_of, split_points
+from tidemark.functions.ranges import bucket_of, split_points
 
 FIRST_SURROGATE = 1000
 
@@ -23,15 +23,17 @@ def number_rows(
 
     Equal to ``row_number() over (order by ...)``, but the rows are cut into
     ordered buckets that are numbered in parallel and shifted by the sizes of
-    the buckets before them.  ``order_by`` must be unique per row.  Two small
-    jobs run here: the sample for the split points (taken from
-    ``points_from`` when given) and one count per bucket.
+    the buckets before them.  ``order_by`` must be unique per row.  Small jobs
+    run here: a count and, for more rows than one task should hold, a sample
+    for the split points (both on ``points_from`` when given) and one count
+    per bucket.
     """
-    buckets = bucket_count(df)
     source = points_from if points_from is not None else df
-    points = split_points(source, order_by, buckets)
+    points = split_points(source, order_by)
     bucketed = df.withColumn("_bucket", bucket_of(df, order_by, points))
-    counts = {r["_bucket"]: r["count"] for r in bucketed.groupBy("_bucket").count().collect()}
+    counts = {}
+    if points:
+        counts = {r["_bucket"]: r["count"] for r in bucketed.groupBy("_bucket").count().collect()}
     sizes = [counts.get(b, 0) for b in range(len(points) + 1)]
     starts = [0, *accumulate(sizes[:-1])]
     start = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("_bucket") + 1)

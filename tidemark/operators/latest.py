@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.sizing import fits_broadcast
 from tidemark.operators.joins import lookup_join, rows_with_keys
 from tidemark.operators.upsert import merge, snapshot
 from tidemark.operators.windows import neighbour
+from tidemark.session import materialize
 
 OPEN_END = "9999-12-31"
 
@@ -16,9 +18,13 @@ def _with_group_max(df: DataFrame, group: list[str], order: str, alias: str) ->
     """Mark the row with the group's highest ``order`` value.
 
     The join is on (group, order): each such pair occurs once, so a group
-    that holds many rows is still spread over all tasks.
+    that holds many rows is still spread over all tasks.  When the maxima
+    pass the size check they are broadcast and the rows are not shuffled.
     """
-    top = df.groupBy(*group).agg(F.max(order).alias(order)).withColumn(alias, F.lit(True))
+    top = df.groupBy(*group).agg(F.max(order).alias(order))
+    if fits_broadcast(top):
+        top = F.broadcast(top)
+    top = top.withColumn(alias, F.lit(True))
     return df.join(top, [*group, order], "left").withColumn(alias, F.coalesce(alias, F.lit(False)))
 
 
@@ -52,7 +58,8 @@ def latest_flag_end_ts(
     Current target rows of those groups and the batch rows are pooled; per
     group the highest ``key`` is latest and stays open, the others end at
     their own timestamp (``end_from="self"``) or at their successor's
-    (``"successor"``).  The pool is then merged into the target.
+    (``"successor"``).  The pool is written to the shared folder and merged
+    into the target.
     """
     end_type = target.schema[end].dataType
     current = rows_with_keys(target.where(F.col(flag) == 1), batch, [group]).distinct()
@@ -70,4 +77,5 @@ def latest_flag_end_ts(
             end: F.when(F.col("_last"), F.lit(OPEN_END).cast(end_type)).otherwise(F.col(closing).cast(end_type)),
         }
     ).select(*target.columns)
+    final = materialize(final, "latest-pool")
     return snapshot(merge(target, final, [group, key], "always"))

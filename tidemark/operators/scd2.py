@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import differs
 from tidemark.functions.hashing import hash_key, row_checksum
-from tidemark.functions.ranges import bucket_count, split_points
 from tidemark.functions.sizing import fits_broadcast
 from tidemark.operators.keys import FIRST_SURROGATE, max_key, number_rows
 from tidemark.operators.windows import neighbour
+from tidemark.session import materialize
 
 ACTION = "_action"
 
@@ -77,12 +77,16 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
 
     Only current rows are joined; closed history passes through.  Surrogate
     keys continue the dimension's highest one, in key order, without gaps.
+
+    The hashed batch and the rows to insert are written to the shared folder
+    first: the batch is read once from its source, and later steps do not
+    repeat the comparison with the dimension.
     """
     keys = list(spec.keys)
-    new = prepare(batch, spec)
+    new = materialize(prepare(batch, spec), "scd2-batch")
     if dim is None:
         fresh = new.withColumn(ACTION, F.lit("new_key"))
-        return _as_dimension(_open_versions(fresh, None, spec, new), spec)
+        return _as_dimension(_open_versions(fresh, None, spec), spec)
     small = fits_broadcast(new)
     side = F.broadcast if small else (lambda df: df)
     is_current = F.col(spec.current) == "Y"
@@ -103,30 +107,36 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     )
     passed = history.select(*spec.columns, F.lit("kept").alias(ACTION))
 
-    fresh = _unknown_rows(dim, new, spec, small, compat)
-    inserted = _open_versions(fresh, dim, spec, new)
+    fresh = materialize(_unknown_rows(dim, new, spec, small, compat), "scd2-fresh")
+    inserted = _open_versions(fresh, dim, spec)
     return _as_dimension(updated, spec).unionByName(_as_dimension(passed, spec)).unionByName(_as_dimension(inserted, spec))
 
 
 def _unknown_rows(dim: DataFrame, new: DataFrame, spec: Scd2Spec, small: bool, compat: bool) -> DataFrame:
     """Batch rows that open a version, marked ``new_key`` or ``new_version``.
 
-    Reads key, checksum and flag of the dimension only.  Both joins have one
-    row per join key on either side, so a key with a long history is as cheap
-    as any other.
+    Reads key, checksum and flag of the dimension only, and reduces long
+    histories to one row per join key before any shuffle.
     """
     keys = list(spec.keys)
     rows = dim.select(*keys, spec.checksum, spec.current)
+    is_live = F.lit(True) if compat else F.coalesce(F.col(spec.current) == "Y", F.lit(False))
     if small:
-        rows = rows.join(F.broadcast(new.select(*keys)), keys, "left_semi")
-    known = rows if compat else rows.where(F.col(spec.current) == "Y")
-    known = known.select(*keys, spec.checksum).distinct()
+        incoming = F.broadcast(new.select(*keys, F.col(spec.checksum).alias("_new_checksum")))
+        same = is_live & (F.col(spec.checksum) == F.col("_new_checksum"))
+        state = rows.join(incoming, keys, "inner").groupBy(*keys).agg(F.bool_or(same).alias("_same"))
+        fresh = new.join(state, keys, "left").where("NOT coalesce(_same, false)")
+        seen = F.col("_same").isNotNull()
+        return fresh.withColumn(ACTION, F.when(seen, "new_version").otherwise("new_key")).drop("_same")
+    known = rows.where(is_live).select(*keys, spec.checksum)
+    if compat:
+        known = known.distinct()
     seen = rows.select(*keys).distinct().withColumn("_seen", F.lit(True))
     fresh = new.join(known, [*keys, spec.checksum], "left_anti").join(seen, keys, "left")
     return fresh.withColumn(ACTION, F.when(F.col("_seen"), "new_version").otherwise("new_key")).drop("_seen")
 
 
-def _open_versions(fresh: DataFrame, dim: DataFrame | None, spec: Scd2Spec, batch: DataFrame) -> DataFrame:
+def _open_versions(fresh: DataFrame, dim: DataFrame | None, spec: Scd2Spec) -> DataFrame:
     first = F.lit(spec.first_start).cast("date")
     opened = fresh.withColumns(
         {
@@ -136,27 +146,29 @@ def _open_versions(fresh: DataFrame, dim: DataFrame | None, spec: Scd2Spec, batc
         }
     )
     base = max_key(dim, spec.surrogate, FIRST_SURROGATE)
-    return number_rows(opened, list(spec.keys), spec.surrogate, base, points_from=batch)
+    return number_rows(opened, list(spec.keys), spec.surrogate, base)
 
 
-def rebuild(versions: DataFrame, spec: Scd2Spec) -> DataFrame:
+def rebuild(versions: DataFrame, spec: Scd2Spec, sample_from: DataFrame | None = None) -> DataFrame:
     """The dimension implied by all versions of all keys, in any order.
 
     One row per (key, start) is expected.  A version equal to its predecessor
     is merged into it, the first version of a key starts at ``first_start``,
     each version ends the day before the next one starts, and the last is
-    current.
+    current.  ``sample_from`` may name a cheaper frame with the start column
+    to draw the ranges for long histories from (default: the versions).
     """
+    if sample_from is None:
+        sample_from = versions.select(F.col(spec.start).cast("date").alias(spec.start))
     keys = list(spec.keys)
     rows = prepare(versions, spec)
-    points = split_points(rows, [spec.start], bucket_count(rows))
-    before = neighbour(rows, keys, [spec.start], spec.checksum, "_before", step=-1, points=points)
+    before = neighbour(rows, keys, [spec.start], spec.checksum, "_before", step=-1, points_from=sample_from)
     kept = before.where(F.col("_before").isNull() | (F.col("_before") != F.col(spec.checksum)))
     kept = kept.withColumn(
         spec.start,
         F.when(F.col("_before").isNull(), F.lit(spec.first_start).cast("date")).otherwise(F.col(spec.start)),
     ).drop("_before")
-    after = neighbour(kept, keys, [spec.start], spec.start, "_after", points=points)
+    after = neighbour(kept, keys, [spec.start], spec.start, "_after", points_from=sample_from)
     open_row = F.col("_after").isNull()
     return after.select(
         *[c for c in spec.columns if c not in (spec.surrogate, spec.end, spec.current)],
@@ -168,4 +180,4 @@ def rebuild(versions: DataFrame, spec: Scd2Spec) -> DataFrame:
 def merge_history(dim: DataFrame, batch: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Rebuild after adding batch versions, which may be older than existing ones."""
     columns = [*spec.keys, *spec.tracked, spec.start]
-    return rebuild(dim.select(*columns).unionByName(batch.select(*columns)), spec)
+    return rebuild(dim.select(*columns).unionByName(batch.select(*columns)), spec, dim)

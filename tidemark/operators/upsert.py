@@ -62,8 +62,7 @@ def merge(
     keys = list(keys)
     stamp = stamp or {}
     if target is None:
-        target = source.limit(0)
-        batch_fits = False
+        return source.withColumns({**stamp, ACTION: F.lit("I")})
     payload = [c for c in source.columns if c not in keys]
     common = [c for c in payload if c in target.columns]
     out_columns = [*target.columns, *[c for c in payload if c not in target.columns]]

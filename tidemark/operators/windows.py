@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_null
 from tidemark.functions.hashing import hash_key
-from tidemark.functions.ranges import bucket_count, bucket_of, split_points
+from tidemark.functions.ranges import bucket_of, split_points
 
 
 def neighbour(
@@ -17,7 +17,7 @@ def neighbour(
     value: str,
     alias: str,
     step: int = 1,
-    points: list[tuple] | None = None,
+    points_from: DataFrame | None = None,
 ) -> DataFrame:
     """``lead(value)`` (``step=1``) or ``lag(value)`` (``step=-1``) per key.
 
@@ -25,12 +25,13 @@ def neighbour(
     one task: the order columns are cut into even ranges and the window runs
     per (key, range), with one extra row per range that stands for the edge
     of the key's next (or previous) range.  (key, order) must be unique; a
-    (key, range) group then holds at most about one bucket of all rows.
+    (key, range) group then holds at most about one bucket of all rows.  The
+    ranges come from ``points_from`` when given, e.g. a cheaper frame with
+    the same order columns; they never change the result.
     """
     if step not in (1, -1):
         raise ValueError("step must be 1 or -1")
-    if points is None:
-        points = split_points(df, order_by, bucket_count(df))
+    points = split_points(points_from if points_from is not None else df, order_by)
     rows = df.withColumn("_slice", bucket_of(df, order_by, points)).withColumn("_edge", F.lit(False))
     near = F.lead if step == 1 else F.lag
     if points:

@@ -11,14 +11,18 @@ from tidemark.functions.hashing import row_checksum
 from tidemark.operators import project, scd2, upsert
 from tidemark.operators.scd2 import Scd2Spec
 from tidemark.plans import watermark
+from tidemark.session import materialize
 from tidemark.spec import ColumnMap, SyncRow, keys_of, validate_mapping
 
 
 class BronzeLoad(NamedTuple):
-    """The next snapshot with its actions, the next watermark and the drift found."""
+    """The next snapshot with its actions, and the drift found.
+
+    The next watermark is the highest change value of the snapshot once it is
+    written (``watermark.advance``), so a failed load leaves the mark alone.
+    """
 
     merged: DataFrame
-    watermark: DataFrame | None
     drift: list[tuple]
 
 
@@ -35,7 +39,8 @@ def bronze_load(
 
     Lineage and modification time are set on every inserted or updated row in
     both modes.  Columns the mapping does not name are reported as drift and
-    loaded under their own name.
+    loaded under their own name.  An incremental batch is extracted once and
+    written to the shared folder before it is merged.
     """
     validate_mapping(source, mapping, need_key=row.incremental)
     extracted = source
@@ -43,19 +48,15 @@ def bronze_load(
         extracted = project.watermark_filter(source, row.change_column, watermark.current(row), only_if_present=True)
     mapped = {m.source.lower() for m in mapping}
     added = [c for c in source.columns if c.lower() not in mapped]
-    drift = [d for d in project.drift(source.schema, source.select(*[c for c in source.columns if c not in added]).schema)]
+    drift = project.drift(source.schema, source.drop(*added).schema)
     full_mapping = [*mapping, *[ColumnMap(c, c) for c in added]]
     batch = project.add_lineage(project.map_project(extracted, full_mapping), **{lineage: row.source_name})
-    mark = None
-    if row.change_column and row.change_column in source.columns:
-        mark = extracted.agg(F.max(row.change_column).alias("watermark"))
-    if row.incremental and target is not None:
-        change_target = next(m.target for m in full_mapping if m.source == row.change_column)
-        unique = upsert.dedupe_batch(batch, keys_of(mapping), [F.col(change_target).desc()])
-        merged = upsert.upsert_columns(target, unique, keys_of(mapping), run_ts=run_ts, modified=modified)
-    else:
-        merged = batch.withColumns({modified: run_ts, upsert.ACTION: F.lit("I")})
-    return BronzeLoad(merged, mark, drift)
+    if not row.incremental or target is None:
+        return BronzeLoad(batch.withColumns({modified: run_ts, upsert.ACTION: F.lit("I")}), drift)
+    changed_at = next(m.target for m in full_mapping if m.source == row.change_column)
+    keys = keys_of(mapping)
+    unique = materialize(upsert.dedupe_batch(batch, keys, [F.col(changed_at).desc()]), "bronze-batch")
+    return BronzeLoad(upsert.upsert_columns(target, unique, keys, run_ts=run_ts, modified=modified), drift)
 
 
 # Columns that say when a row was loaded, not what it holds.
@@ -75,7 +76,7 @@ def silver_upsert(
     validate_mapping(bronze, mapping, need_key=True)
     rows = project.map_project(project.watermark_filter(bronze, change_column, since), mapping)
     rows = rows.withColumn("checksum", row_checksum(rows, exclude=exclude))
-    unique = upsert.dedupe_batch(rows, keys_of(mapping), order_by)
+    unique = materialize(upsert.dedupe_batch(rows, keys_of(mapping), order_by), "silver-batch")
     return upsert.upsert_checksum(silver, unique, keys_of(mapping))
 
 
@@ -99,5 +100,5 @@ def gold_fact(
     """Dimension rows changed since the window start, upserted by the mapped key list."""
     validate_mapping(dim, mapping, need_key=True)
     rows = project.map_project(project.watermark_filter(dim, change_column, since), mapping)
-    unique = upsert.dedupe_batch(rows, keys_of(mapping), order_by)
+    unique = materialize(upsert.dedupe_batch(rows, keys_of(mapping), order_by), "fact-batch")
     return upsert.upsert_fact(fact, unique, keys_of(mapping), surrogate)

@@ -19,7 +19,9 @@ def _dated(batch, day: str):
 
 
 def first_dimension(spark, d):
-    return scd2.apply(None, _dated(target_orders(spark, d), "2024-01-01"), ORDER_DIM).drop(ACTION)
+    """The dimension as the first load wrote it; the next load reads that table."""
+    dim = scd2.apply(None, _dated(target_orders(spark, d), "2024-01-01"), ORDER_DIM).drop(ACTION)
+    return materialize(dim, "order-dim")
 
 
 def _second(spark, d):
@@ -27,10 +29,9 @@ def _second(spark, d):
 
 
 def _three_batches(spark, d, compat: bool):
-    # a load writes its dimension; the next load reads that table
-    dim = materialize(first_dimension(spark, d), "order-dim-1")
-    second = scd2.apply(dim, _dated(batch_one(spark, d), "2024-02-01"), ORDER_DIM, compat)
-    dim = materialize(second.drop(ACTION), "order-dim-2")
+    first = first_dimension(spark, d)
+    second = scd2.apply(first, _dated(batch_one(spark, d), "2024-02-01"), ORDER_DIM, compat)
+    dim = materialize(second.drop(ACTION), "order-dim")
     return scd2.apply(dim, _dated(batch_two(spark, d), "2024-03-01"), ORDER_DIM, compat).drop(ACTION)
 
 
@@ -143,7 +144,8 @@ FROM ended
 
 @query(_REBUILD)
 def scd2_rebuild(spark, d):
-    return scd2.rebuild(_order_versions(spark, d), CUSTOMER_HISTORY)
+    dates = read(spark, d, "orders").select(F.to_date("o_orderdate").alias(CUSTOMER_HISTORY.start))
+    return scd2.rebuild(_order_versions(spark, d), CUSTOMER_HISTORY, dates)
 
 
 @query(_REBUILD)

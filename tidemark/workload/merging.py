@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import hash_key as hash_key_of
 from tidemark.functions.hashing import row_checksum as checksum_of
 from tidemark.operators import latest, upsert
-from tidemark.session import shared_dir
+from tidemark.session import materialize, shared_dir
 from tidemark.sinks.files import write_parquet
 from tidemark.sinks.tables import load_staged
 from tidemark.workload.changes import (
@@ -79,7 +79,7 @@ LINE_REST = LINE_COLUMNS[2:]
 def upsert_fact(spark, d):
     order = [F.col("l_shipdate").desc()]
     target = upsert.dedupe_batch(target_lines(spark, d), LINE_KEY, order)
-    source = upsert.dedupe_batch(batch_lines(spark, d), LINE_KEY, order)
+    source = materialize(upsert.dedupe_batch(batch_lines(spark, d), LINE_KEY, order), "lines-batch")
     return upsert.upsert_fact(target, source, LINE_KEY, ["l_suppkey"])
 
 
@@ -214,7 +214,7 @@ FROM events
 def latest_flag(spark, d):
     first, second = _events(spark, d)
     empty = spark.createDataFrame([], first.withColumn("IsLatest", F.lit(1)).schema)
-    target = latest.latest_flag(empty, first, "user_id", "event_id")
+    target = materialize(latest.latest_flag(empty, first, "user_id", "event_id"), "latest-events")
     return latest.latest_flag(target, second, "user_id", "event_id")
 
 
@@ -236,7 +236,8 @@ pool AS (
 
 def _flagged_target(first, spark):
     shape = first.withColumns({"IsLatest": F.lit(1), "trans_proc_end_ts": F.col("ts")}).schema
-    return latest.latest_flag_end_ts(spark.createDataFrame([], shape), first, "user_id", "event_id", "ts")
+    loaded = latest.latest_flag_end_ts(spark.createDataFrame([], shape), first, "user_id", "event_id", "ts")
+    return materialize(loaded, "flagged-events")
 
 
 @query(f"""
