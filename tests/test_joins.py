@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
-from tidemark.functions import sizing
+from tidemark.functions import ranges, sizing
 from tidemark.operators import joins
 
 
@@ -26,13 +26,13 @@ def test_lookup_join_equals_plain_join(spark, small_buckets, how, fits):
 
 def test_hot_keys_found(spark, small_buckets):
     big, _ = sides(spark)
-    found = {r["k"] for r in joins.hot_keys(big, ["k"]).collect()}
+    found = {r["k"] for r in ranges.hot_keys(big, ["k"]).collect()}
     assert "hot" in found and None not in found
 
 
 def test_no_hot_keys_in_a_small_frame(spark):
     big, _ = sides(spark)
-    assert joins.hot_keys(big, ["k"]) is None
+    assert ranges.hot_keys(big, ["k"]) is None
 
 
 def test_size_check(spark, monkeypatch):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,3 +51,16 @@ def row_checksum(df: DataFrame, columns: Iterable[str] | None = None, exclude: I
 def hash_key(df: DataFrame, columns: Iterable[str]) -> Column:
     """MD5 over the row text of the business keys."""
     return F.md5(row_text(df, columns))
+
+
+def register_hash_key(spark: SparkSession, name: str, keys: int) -> None:
+    """Make the hash key callable from SQL: a temporary function of ``keys`` text arguments.
+
+    It expands to built-in functions, so no Python runs per row.
+    """
+    arguments = [f"k{i}" for i in range(keys)]
+    tokens = [f"coalesce(concat(length({a}), ':', {a}), '{NULL_TOKEN}')" for a in arguments]
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({', '.join(f'{a} STRING' for a in arguments)}) "
+        f"RETURNS STRING RETURN md5(concat_ws('{SEPARATOR}', {', '.join(tokens)}))"
+    )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BUCKETS = 4096
-ROWS_PER_BUCKET = 250_000
+ROWS_PER_BUCKET = 1_000_000
+SAMPLED_ROWS = 1_000_000
 SAMPLED_ROWS_PER_BUCKET = 16
 FAN = 64
 
@@ -42,6 +43,25 @@ def split_points(df: DataFrame, order_by: list[str], seed: int = 11) -> list[tup
     return [rows[i] for i in picked if i > 0]
 
 
+def hot_keys(df: DataFrame, on: list[str], nulls: bool = False) -> DataFrame | None:
+    """Keys with more rows than a fair share of one task, or None.
+
+    Counted on a sample, so a key near the limit may be missed or included;
+    callers give the same result either way.  At most ``MAX_BUCKETS`` keys can
+    exceed the share, which bounds the result.
+    """
+    keys = df.select(*on) if nulls else df.select(*on).dropna()
+    total = keys.count()
+    share = max(total / MAX_BUCKETS, ROWS_PER_BUCKET)
+    if total <= share:
+        return None
+    fraction = min(1.0, SAMPLED_ROWS / total)
+    if fraction < 1.0:
+        keys = keys.sample(fraction=fraction, seed=5)
+    rows = keys.groupBy(*on).count().where(F.col("count") > share * fraction).drop("count").collect()
+    return df.sparkSession.createDataFrame(rows, keys.schema) if rows else None
+
+
 def _literal(value: object, field: T.StructField) -> Column:
     if value is not None and isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         value = str(value)

@@ -8,32 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import ranges
 from tidemark.functions.compare import all_of, any_null, differs
+from tidemark.functions.ranges import hot_keys
 from tidemark.functions.sizing import fits_broadcast
 
-SAMPLED_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame | None:
-    """Keys with more rows than a fair share of one task, or None.
-
-    Counted on a sample, so a key near the limit may be missed or included;
-    either way the join result is the same.  At most ``MAX_BUCKETS`` keys can
-    exceed the share, which bounds the result.
-    """
-    keys = df.select(*on).dropna()
-    total = keys.count()
-    share = max(total / ranges.MAX_BUCKETS, ranges.ROWS_PER_BUCKET)
-    if total <= share:
-        return None
-    fraction = min(1.0, SAMPLED_ROWS / total)
-    if fraction < 1.0:
-        keys = keys.sample(fraction=fraction, seed=5)
-    rows = keys.groupBy(*on).count().where(F.col("count") > share * fraction).drop("count").collect()
-    return df.sparkSession.createDataFrame(rows, keys.schema) if rows else None
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_null, any_of, differs
-from tidemark.functions.hashing import row_checksum
 from tidemark.functions.sizing import fits_broadcast
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.windows import latest_per_key
@@ -22,11 +21,11 @@ ACTION = "_action"
 
 
 def dedupe_batch(source: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = (), on_duplicate: str = "latest") -> DataFrame:
-    """One row per key: the latest by ``order_by``, ties settled by the row checksum."""
+    """One row per key: the latest by ``order_by``, ties settled by the other columns in turn."""
     keys = list(keys)
     if on_duplicate == "latest":
-        tie = row_checksum(source).desc()
-        return latest_per_key(source, keys, [*order_by, tie])
+        ties = [F.col(c).desc() for c in source.columns if c not in keys]
+        return latest_per_key(source, keys, [*order_by, *ties])
     if on_duplicate != "error":
         raise ValueError("on_duplicate is 'latest' or 'error'")
     clash = source.groupBy(*keys).count().where("count > 1").limit(1).collect()

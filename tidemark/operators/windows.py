@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_null
 from tidemark.functions.hashing import hash_key
-from tidemark.functions.ranges import bucket_of, split_points
+from tidemark.functions.ranges import bucket_of, hot_keys, split_points
 
 
 def neighbour(
@@ -21,21 +21,28 @@ def neighbour(
 ) -> DataFrame:
     """``lead(value)`` (``step=1``) or ``lag(value)`` (``step=-1``) per key.
 
-    A key may hold a large share of all rows, so its rows are not gathered in
-    one task: the order columns are cut into even ranges and the window runs
-    per (key, range), with one extra row per range that stands for the edge
-    of the key's next (or previous) range.  (key, order) must be unique; a
-    (key, range) group then holds at most about one bucket of all rows.  The
-    ranges come from ``points_from`` when given, e.g. a cheaper frame with
-    the same order columns; they never change the result.
+    The rows of a hot key are not gathered in one task: the order columns are
+    cut into even ranges and a hot key's window runs per (key, range), with
+    one extra row per range that stands for the edge of the key's next (or
+    previous) range.  (key, order) must be unique; a (key, range) group then
+    holds at most about one bucket of all rows.  The ranges come from
+    ``points_from`` when given, e.g. a cheaper frame with the same order
+    columns; they never change the result.
     """
     if step not in (1, -1):
         raise ValueError("step must be 1 or -1")
-    points = split_points(points_from if points_from is not None else df, order_by)
-    rows = df.withColumn("_slice", bucket_of(df, order_by, points)).withColumn("_edge", F.lit(False))
     near = F.lead if step == 1 else F.lag
-    if points:
-        rows = rows.unionByName(_edges(rows, partition_by, order_by, value, step), allowMissingColumns=True)
+    hot = hot_keys(df, partition_by, nulls=True)
+    if hot is None:
+        return df.withColumn(alias, near(value).over(Window.partitionBy(*partition_by).orderBy(*order_by)))
+    points = split_points(points_from if points_from is not None else df, order_by)
+    marks = hot.select(*[F.col(c).alias(f"_hot_{c}") for c in partition_by], F.lit(True).alias("_hot"))
+    same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in partition_by]
+    marked = df.join(F.broadcast(marks), same, "left")
+    range_of = F.when(F.col("_hot"), bucket_of(df, order_by, points)).otherwise(F.lit(0))
+    rows = marked.select(*df.columns, range_of.alias("_slice"), F.col("_hot"), F.lit(False).alias("_edge"))
+    edges = _edges(rows.where("_hot"), partition_by, order_by, value, step)
+    rows = rows.drop("_hot").unionByName(edges, allowMissingColumns=True)
     w = Window.partitionBy(*partition_by, "_slice").orderBy(*order_by)
     return rows.withColumn(alias, near(value).over(w)).where("NOT _edge").drop("_slice", "_edge")
 

@@ -11,8 +11,17 @@ from tidemark.operators.windows import top_one, top_rank
 from tidemark.spec import START_OF_TIME
 
 
-def latest_attempt(batches: DataFrame, name: str, attempt: str) -> DataFrame:
-    """The rows of the highest attempt per pipeline, ties kept."""
+def latest_attempt(batches: DataFrame, name: str, attempt: str, batch: str | None = None, begun: str | None = None) -> DataFrame:
+    """The rows of the highest attempt per pipeline, ties kept.
+
+    With ``batch`` and ``begun`` only the attempts of each pipeline's latest
+    batch count; the latest is the one with the last begin, as batch ids need
+    not be ordered.
+    """
+    if batch is not None:
+        newest = batches.groupBy(name).agg(F.max(F.struct(begun, batch)).alias("_last"))
+        newest = newest.select(name, F.col(f"_last.{batch}").alias(batch))
+        batches = lookup_join(batches, newest, [name, batch], "left_semi")
     return top_rank(batches, [name], [F.col(attempt).desc()])
 
 

@@ -75,8 +75,9 @@ def silver_upsert(
     """Rows changed since the window start, mapped, checksummed and merged by checksum."""
     validate_mapping(bronze, mapping, need_key=True)
     rows = project.map_project(project.watermark_filter(bronze, change_column, since), mapping)
-    rows = rows.withColumn("checksum", row_checksum(rows, exclude=exclude))
-    unique = materialize(upsert.dedupe_batch(rows, keys_of(mapping), order_by), "silver-batch")
+    unique = upsert.dedupe_batch(rows, keys_of(mapping), order_by)
+    unique = unique.withColumn("checksum", row_checksum(unique, exclude=exclude))
+    unique = materialize(unique, "silver-batch")
     return upsert.upsert_checksum(silver, unique, keys_of(mapping))
 
 

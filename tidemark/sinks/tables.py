@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.compare import all_of, any_of
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.project import union_all_by_name
+from tidemark.operators.upsert import merge, snapshot
+from tidemark.session import materialize
+from tidemark.sinks.files import rebalanced
+
+MAX_TOUCHED = 1000
 
 
 class SnapshotTable:
@@ -83,8 +90,33 @@ def read_appended(spark: SparkSession, path: str) -> DataFrame:
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``; the others stay."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    """Replace exactly the partitions that occur in ``df``; the others stay.
+
+    Rows are rebalanced by partition: few files per small partition, and
+    several tasks for one that holds a large share of the rows.
+    """
+    rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def merge_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_by: list[str], **options
+) -> DataFrame:
+    """Merge a batch into a partitioned table and rewrite only the partitions it touches.
+
+    A key must never change its partition.  The merged partitions are written
+    to the shared folder first, so the table is not read while it is
+    replaced.  Returns the merged rows with their actions.
+    """
+    touched = batch.select(*partition_by).distinct().limit(MAX_TOUCHED + 1).collect()
+    target = spark.read.parquet(path)
+    if len(touched) <= MAX_TOUCHED:
+        wanted = any_of([all_of([F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in touched])
+        target = target.where(wanted)
+    else:
+        target = lookup_join(target, batch.select(*partition_by).distinct(), partition_by, "left_semi")
+    merged = materialize(merge(target, batch, keys, **options), "merged-partitions")
+    replace_partitions(snapshot(merged), path, partition_by)
+    return merged
 
 
 def load_staged(df: DataFrame, path: str, table: str, bu: str = "BU") -> None:

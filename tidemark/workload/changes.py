@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.workload.registry import money, ntz, read, sql_checksum
+from tidemark.workload.registry import money, ntz, read
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 LINE_COLUMNS = [
@@ -72,7 +72,7 @@ s1 AS (
 s2 AS (SELECT * FROM all_orders WHERE o_orderdate >= TIMESTAMP '1999-07-01')
 """
 
-_LINE_ORDER = f"l_shipdate DESC, {sql_checksum(LINE_COLUMNS)} DESC"
+_LINE_ORDER = ", ".join(f"{c} DESC" for c in ["l_shipdate", *LINE_COLUMNS[2:]])
 
 LINES_SQL = f"""
 lines AS (

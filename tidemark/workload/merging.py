@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import hash_key as hash_key_of
+from tidemark.functions.hashing import register_hash_key
 from tidemark.functions.hashing import row_checksum as checksum_of
 from tidemark.operators import latest, upsert
+from tidemark.operators.upsert import ACTION
 from tidemark.session import materialize, shared_dir
 from tidemark.sinks.files import write_parquet
-from tidemark.sinks.tables import load_staged
+from tidemark.sinks.tables import load_staged, merge_partitions
 from tidemark.workload.changes import (
     LINE_COLUMNS, LINES_SQL, ORDER_COLUMNS, ORDERS_SQL, RUN_TS, batch_lines, batch_one,
     distinct_sql, merge_sql, target_lines, target_orders,
@@ -58,7 +60,19 @@ def checked(df):
 
 @query(merge_sql(_CHECKED_SQL, KEY, [*REST, "checksum"], distinct_sql(["checksum"]), target="t1", source="b1"))
 def upsert_checksum(spark, d):
-    return upsert.upsert_checksum(checked(target_orders(spark, d)), checked(batch_one(spark, d)), KEY)
+    batch = materialize(checked(batch_one(spark, d)), "checked-batch")
+    return upsert.upsert_checksum(checked(target_orders(spark, d)), batch, KEY)
+
+
+@query(merge_sql(ORDERS_SQL, KEY, REST, distinct_sql(REST)).replace("SELECT coalesce", "SELECT CAST(year(coalesce(t.o_orderdate, s.o_orderdate)) AS INTEGER) AS order_year, coalesce", 1))
+def upsert_partitioned(spark, d):
+    path = shared_dir(spark, "orders-by-year")
+    year = F.year("o_orderdate")
+    write_parquet(target_orders(spark, d).withColumn("order_year", year), path, partition_by=["order_year"])
+    batch = batch_one(spark, d).withColumn("order_year", year)
+    actions = merge_partitions(spark, path, batch, KEY, ["order_year"]).select("o_orderkey", ACTION)
+    kept = spark.read.parquet(path).join(actions, KEY, "left")
+    return kept.withColumn(ACTION, F.coalesce(ACTION, F.lit("K")))
 
 
 @query(merge_sql(ORDERS_SQL, KEY, REST, "TRUE"))
@@ -78,7 +92,7 @@ LINE_REST = LINE_COLUMNS[2:]
 )
 def upsert_fact(spark, d):
     order = [F.col("l_shipdate").desc()]
-    target = upsert.dedupe_batch(target_lines(spark, d), LINE_KEY, order)
+    target = materialize(upsert.dedupe_batch(target_lines(spark, d), LINE_KEY, order), "lines-table")
     source = materialize(upsert.dedupe_batch(batch_lines(spark, d), LINE_KEY, order), "lines-batch")
     return upsert.upsert_fact(target, source, LINE_KEY, ["l_suppkey"])
 
@@ -292,3 +306,12 @@ def hash_key(spark, d):
     lines = read(spark, d, "lineitem")
     keys = ["l_orderkey", "l_linenumber", "l_shipdate"]
     return lines.select(*keys, hash_key_of(lines, keys).alias("hash_join_key"))
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, {sql_hash_key(["l_orderkey", "l_linenumber"])} AS hash_join_key FROM lineitem
+""")
+def hash_key_in_sql(spark, d):
+    register_hash_key(spark, "line_hash_key", 2)
+    text = "SELECT l_orderkey, l_linenumber, line_hash_key(l_orderkey, l_linenumber) AS hash_join_key FROM {lines}"
+    return spark.sql(text, lines=read(spark, d, "lineitem"))

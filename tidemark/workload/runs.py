@@ -32,6 +32,19 @@ def latest_attempt(spark, d):
     return history.latest_attempt(_runs(spark, d), "user_id", "event_id").select("user_id", "event_id", "status")
 
 
+@query(f"""
+WITH {_RUNS},
+newest AS (SELECT status, arg_max(user_id, (ts, user_id)) AS user_id FROM runs GROUP BY status)
+SELECT status, user_id, event_id FROM (
+  SELECT *, rank() OVER (PARTITION BY status ORDER BY event_id DESC) AS r
+  FROM runs WHERE (status, user_id) IN (SELECT status, user_id FROM newest)) WHERE r = 1
+""")
+def latest_batch_attempt(spark, d):
+    # one pipeline per status, one batch per user
+    latest = history.latest_attempt(_runs(spark, d), "status", "event_id", batch="user_id", begun="ts")
+    return latest.select("status", "user_id", "event_id")
+
+
 @query(f"""
 WITH {_RUNS}
 SELECT coalesce(bool_and(status = 'SUCCESS'), FALSE) AS all_success FROM (
