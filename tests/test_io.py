@@ -44,8 +44,12 @@ def test_two_writers_of_one_version(spark, path):
     table = tables.SnapshotTable(spark, path)
     table.overwrite(spark.range(1))
     with pytest.raises(Exception):
-        table._publish(1, "v1-other")
+        table._publish(None, 1, "v1-other")
+    with pytest.raises(RuntimeError):
+        table._publish(None, 2, "v2-other")
     assert table.version() == 1
+    assert table.overwrite(spark.range(2)) == 3
+    assert table.read().count() == 2
 
 
 def test_staged_tables(spark, path):

@@ -39,3 +39,9 @@ def test_one_hot_group(spark, monkeypatch, small_buckets, fits):
     assert out.count() == 300
     assert rows(out.where("IsLatest = 1 AND g = 'hot'").select("id")) == [(199,)]
     assert out.where("IsLatest = 1").count() == 8
+
+
+def test_null_keys_are_each_latest(spark):
+    target = spark.createDataFrame([(None, "t", 1)], "id int, name string, IsLatest int")
+    batch = spark.createDataFrame([(None, "x", 1), (None, "y", 2)], "id int, name string, seq int")
+    assert rows(latest.latest_flag(target, batch, "id", "seq").select("IsLatest")) == [(1,), (1,), (1,)]

@@ -129,3 +129,10 @@ def test_large_batch_needs_no_global_window(spark, tables, small_buckets):
         assert "BatchEvalPython" not in line and "CartesianProduct" not in line and "NestedLoop" not in line
         if "Window [" in line:
             assert "_bucket" in line
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_null_key_is_one_key(spark, monkeypatch, fits):
+    monkeypatch.setattr(scd2, "fits_broadcast", lambda df: fits)
+    dim = load(spark, [{None: "a"}, {None: "a"}, {None: "b"}])
+    assert rows(dim.select("v", SPEC.current)) == [("a", "N"), ("b", "Y")]

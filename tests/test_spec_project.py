@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark import spec
 from tidemark.operators import project
-from tidemark.plans import watermark
+from tidemark.plans import generated, watermark
 from tidemark.sinks.tables import empty
 from tidemark.spec import ColumnMap, SyncRow
 
@@ -89,3 +89,22 @@ def test_drift_mapping_numbers_and_names(spark):
     new = project.drift_mapping(old, ["zeta", "age"], "s", "dbo", "t", "bl", "t", "x_{}_c")
     got = [(r.Mapping_Id, r.Src_cl_nm, r.Dst_cl_nm, r.Is_join_cl) for r in new.orderBy("Mapping_Id").collect()]
     assert got == [(8, "age", "x_age_c", False), (9, "zeta", "x_zeta_c", False)]
+
+
+def test_control_rows(spark):
+    line = ("Contact", "1900-01-01T00:00:00.000Z", "Y", "changed", "s1", "source1", "select * from s1.contact", "bl", "c", "N", "I", "NonCDC")
+    off = ("Off", None, "N") + line[3:]
+    table = spark.createDataFrame([line, off], spec.SYNC_TABLE)
+    (row,) = spec.load_sync_rows(table)
+    assert row.incremental and row.watermark == spec.START_OF_TIME and row.query == "select * from s1.contact"
+
+
+def test_generated_join_rejects_a_table_without_key(spark):
+    rows_in = [
+        (1, "s", "a", "id", "g", "t", "id", "direct", True, True, None, None, None),
+        (2, "s", "b", "v", "g", "t", "v", "direct", False, False, None, None, "JOIN"),
+    ]
+    mapping = generated.load_rows(spark.createDataFrame(rows_in, spec.DIM_FACT_TABLE), "t")
+    frame = spark.createDataFrame([(1, 2)], "id int, v int")
+    with pytest.raises(ValueError, match="no join key"):
+        generated.assemble({"a": frame, "b": frame}, mapping)

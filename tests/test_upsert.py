@@ -136,3 +136,11 @@ def test_checksum_takes_any_type(spark):
         assert tuple(shifted.select(row_checksum(shifted), hash_key(shifted, ["i", "t"])).first()) == tuple(first)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_names_match_without_case(spark, fits):
+    target = spark.createDataFrame([(1, "a")], "Id int, Name string")
+    source = spark.createDataFrame([(1, "b"), (2, "c")], "ID int, NAME string")
+    out = upsert.snapshot(upsert.upsert_columns(target, source, ["id"], batch_fits=fits))
+    assert out.columns == ["Id", "Name"] and rows(out) == [(1, "b"), (2, "c")]

@@ -21,26 +21,32 @@ def _with_group_max(df: DataFrame, group: list[str], order: str, alias: str) ->
     that holds many rows is still spread over all tasks.  When the maxima
     pass the size check they are broadcast and the rows are not shuffled.
     """
-    top = df.groupBy(*group).agg(F.max(order).alias(order))
+    top = df.groupBy(*group).agg(F.max(order).alias("_top"))
     if fits_broadcast(top):
         top = F.broadcast(top)
-    top = top.withColumn(alias, F.lit(True))
-    return df.join(top, [*group, order], "left").withColumn(alias, F.coalesce(alias, F.lit(False)))
+    top = top.withColumnsRenamed({g: f"_g_{g}" for g in group}).withColumn(alias, F.lit(True))
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group] + [F.col(order) == F.col("_top")]
+    marked = df.join(top, same, "left")
+    return marked.select(*df.columns, F.coalesce(alias, F.lit(False)).alias(alias))
 
 
 def latest_flag(target: DataFrame, batch: DataFrame, key: str, sequence: str, flag: str = "IsLatest") -> DataFrame:
     """Append the batch: the last batch row per key becomes latest.
 
     Existing rows of the batch's keys lose the flag; other rows keep theirs.
+    A null key equals no other, so each such row is its own latest.
     ``sequence`` orders the batch uniquely per key and is dropped from the
     result unless the target has it.
     """
     touched = batch.select(key).distinct().withColumn("_touched", F.lit(True))
     old = lookup_join(target, touched, [key], "left")
-    old = old.withColumn(flag, F.when(F.col("_touched"), F.lit(0)).otherwise(F.col(flag))).drop("_touched")
+    old = old.withColumn(flag, F.when(F.col("_touched"), F.lit(0)).otherwise(F.col(flag))).select(*target.columns)
     marked = _with_group_max(batch, [key], sequence, "_last")
-    new = marked.withColumn(flag, F.col("_last").cast("int")).drop("_last")
-    return old.unionByName(new.select(*[c for c in target.columns]))
+    is_latest = F.col("_last") | F.col(key).isNull()
+    new = marked.withColumn(flag, is_latest.cast(target.schema[flag].dataType)).drop("_last")
+    if sequence not in target.columns:
+        new = new.drop(sequence)
+    return old.unionByName(new, allowMissingColumns=True)
 
 
 def latest_flag_end_ts(

@@ -75,6 +75,7 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     ``compat=True`` it does not, because any checksum found in the key's
     history counts as known.
 
+    Rows are matched on the hash key, in which a null key equals a null key.
     Only current rows are joined; closed history passes through.  Surrogate
     keys continue the dimension's highest one, in key order, without gaps.
 
@@ -82,7 +83,7 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     first: the batch is read once from its source, and later steps do not
     repeat the comparison with the dimension.
     """
-    keys = list(spec.keys)
+    match = [spec.hash_key]
     new = materialize(prepare(batch, spec), "scd2-batch")
     if dim is None:
         fresh = new.withColumn(ACTION, F.lit("new_key"))
@@ -94,9 +95,9 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     history = dim.where(~F.coalesce(is_current, F.lit(False)))
 
     incoming = new.select(
-        *keys, F.col(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start")
+        *match, F.col(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start")
     )
-    compared = current.join(side(incoming), keys, "left")
+    compared = current.join(side(incoming), match, "left")
     changed = F.col("_new_checksum").isNotNull() & differs(F.col("_new_checksum"), F.col(spec.checksum))
     day_before = F.date_sub("_new_start", 1)
     updated = compared.select(
@@ -118,21 +119,21 @@ def _unknown_rows(dim: DataFrame, new: DataFrame, spec: Scd2Spec, small: bool, c
     Reads key, checksum and flag of the dimension only, and reduces long
     histories to one row per join key before any shuffle.
     """
-    keys = list(spec.keys)
-    rows = dim.select(*keys, spec.checksum, spec.current)
+    match = [spec.hash_key]
+    rows = dim.select(*match, spec.checksum, spec.current)
     is_live = F.lit(True) if compat else F.coalesce(F.col(spec.current) == "Y", F.lit(False))
     if small:
-        incoming = F.broadcast(new.select(*keys, F.col(spec.checksum).alias("_new_checksum")))
+        incoming = F.broadcast(new.select(*match, F.col(spec.checksum).alias("_new_checksum")))
         same = is_live & (F.col(spec.checksum) == F.col("_new_checksum"))
-        state = rows.join(incoming, keys, "inner").groupBy(*keys).agg(F.bool_or(same).alias("_same"))
-        fresh = new.join(state, keys, "left").where("NOT coalesce(_same, false)")
+        state = rows.join(incoming, match, "inner").groupBy(*match).agg(F.bool_or(same).alias("_same"))
+        fresh = new.join(state, match, "left").where("NOT coalesce(_same, false)")
         seen = F.col("_same").isNotNull()
         return fresh.withColumn(ACTION, F.when(seen, "new_version").otherwise("new_key")).drop("_same")
-    known = rows.where(is_live).select(*keys, spec.checksum)
+    known = rows.where(is_live).select(*match, spec.checksum)
     if compat:
         known = known.distinct()
-    seen = rows.select(*keys).distinct().withColumn("_seen", F.lit(True))
-    fresh = new.join(known, [*keys, spec.checksum], "left_anti").join(seen, keys, "left")
+    seen = rows.select(*match).distinct().withColumn("_seen", F.lit(True))
+    fresh = new.join(known, [*match, spec.checksum], "left_anti").join(seen, match, "left")
     return fresh.withColumn(ACTION, F.when(F.col("_seen"), "new_version").otherwise("new_key")).drop("_seen")
 
 

@@ -52,7 +52,7 @@ def merge(
     common non-key column differs) or a list of columns to compare.
     ``immutable`` columns keep the target's value on update.  ``stamp`` sets
     columns on inserted and updated rows.  Columns of one side only are kept
-    and filled with null on the other.
+    and filled with null on the other; names match without case.
 
     When the batch passes the size check it is broadcast, and the target is
     neither shuffled nor sorted; otherwise both sides are shuffled once for a
@@ -62,6 +62,9 @@ def merge(
     stamp = stamp or {}
     if target is None:
         return source.withColumns({**stamp, ACTION: F.lit("I")})
+    spelled = {c.lower(): c for c in target.columns}
+    source = source.withColumnsRenamed({c: spelled.get(c.lower(), c) for c in source.columns})
+    keys = [spelled.get(k.lower(), k) for k in keys]
     payload = [c for c in source.columns if c not in keys]
     common = [c for c in payload if c in target.columns]
     out_columns = [*target.columns, *[c for c in payload if c not in target.columns]]

@@ -53,9 +53,9 @@ def bronze_load(
     batch = project.add_lineage(project.map_project(extracted, full_mapping), **{lineage: row.source_name})
     if not row.incremental or target is None:
         return BronzeLoad(batch.withColumns({modified: run_ts, upsert.ACTION: F.lit("I")}), drift)
-    changed_at = next(m.target for m in full_mapping if m.source == row.change_column)
+    order = [F.col(m.target).desc() for m in full_mapping if m.source == row.change_column]
     keys = keys_of(mapping)
-    unique = materialize(upsert.dedupe_batch(batch, keys, [F.col(changed_at).desc()]), "bronze-batch")
+    unique = materialize(upsert.dedupe_batch(batch, keys, order), "bronze-batch")
     return BronzeLoad(upsert.upsert_columns(target, unique, keys, run_ts=run_ts, modified=modified), drift)
 
 

@@ -22,9 +22,10 @@ class SnapshotTable:
     """A parquet table whose every overwrite is a new folder.
 
     A version becomes visible when its marker file is created under
-    ``_versions``.  The create fails when the marker exists, so of two writers
-    of one version the second gets an error and nothing is half replaced.
-    Readers of an older version are not disturbed.
+    ``_versions``, after a claim on its number.  The create of a claim fails
+    when it exists, so of two writers that started from one version the second
+    gets an error and nothing is half replaced.  A number claimed by a writer
+    that died is skipped.  Readers of an older version are not disturbed.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -37,12 +38,14 @@ class SnapshotTable:
     def _fs(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _numbers(self, folder: str) -> list[int]:
+        fs, path = self._fs(), self._path(folder)
+        if not fs.exists(path):
+            return []
+        return [int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(path)]
+
     def version(self) -> int | None:
-        fs, markers = self._fs(), self._path("_versions")
-        if not fs.exists(markers):
-            return None
-        numbers = [int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(markers)]
-        return max(numbers, default=None)
+        return max(self._numbers("_versions"), default=None)
 
     def _data_path(self, version: int) -> str:
         fs, markers = self._fs(), self._path("_versions")
@@ -66,16 +69,18 @@ class SnapshotTable:
         base = self.version()
         if merge_schema and base is not None:
             df = union_all_by_name([self.read(base).limit(0), df])
-        number = (base or 0) + 1
+        number = max([base or 0, *self._numbers("_claims")]) + 1
         folder = f"v{number}-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/{folder}")
-        self._publish(number, folder)
+        self._publish(base, number, folder)
         return number
 
-    def _publish(self, number: int, folder: str) -> None:
+    def _publish(self, base: int | None, number: int, folder: str) -> None:
         claim = self._path("_claims", str(number))
         self._fs().create(claim, False).close()
+        if self.version() != base:
+            raise RuntimeError(f"{self.path}: another writer published version {self.version()} meanwhile")
         self._fs().create(self._path("_versions", f"{number}.{folder}"), False).close()
 
 

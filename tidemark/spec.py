@@ -104,6 +104,23 @@ def load_mapping(rows: DataFrame, source: str, table: str) -> list[ColumnMap]:
     return [ColumnMap(r.Src_cl_nm, r.Dst_cl_nm, r.Transformation or DIRECT, as_flag(r.Is_join_cl)) for r in found]
 
 
+def load_sync_rows(rows: DataFrame) -> list[SyncRow]:
+    """The active control rows; one row per source table."""
+    return [
+        SyncRow(
+            table=r.TableName,
+            watermark=datetime.fromisoformat(r.WatermarkValue).replace(tzinfo=None) if r.WatermarkValue else START_OF_TIME,
+            change_column=r.EffectiveDateColumnName,
+            source_name=r.SourceName,
+            query=r.ColumnList,
+            always_full=as_flag(r.IsAlwaysFullLoad),
+            load_type=r.LoadType or "F",
+            source_type=r.SourceType or "",
+        )
+        for r in rows.where(rows.ActiveFlag == "Y").orderBy("SourceName", "TableName").collect()
+    ]
+
+
 def validate_mapping(df: DataFrame, mapping: Iterable[ColumnMap], need_key: bool = False) -> None:
     """Raise when an expression does not resolve or targets clash."""
     mapping = list(mapping)

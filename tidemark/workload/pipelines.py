@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import project, upsert
-from tidemark.plans import medallion
-from tidemark.spec import ColumnMap, SyncRow
+from tidemark.plans import generated, medallion
+from tidemark.spec import DIM_FACT_TABLE, ColumnMap, SyncRow
 from tidemark.workload.changes import ORDERS_SQL, RUN_TS, all_orders, batch_one, distinct_sql, merge_sql, target_orders
 from tidemark.workload.dimensions import _STEP1, ORDER_DIM, first_dimension
 from tidemark.workload.registry import ntz, query, read, sql_checksum
@@ -178,3 +178,31 @@ def conform_sources(spark, d):
             ),
         ]
     )
+
+
+_PARTY_ROWS = [
+    # table, column, target, transformation, key, driving, join table, join column, type
+    ("customer", "c_custkey", "party_id", "direct", True, True, None, None, None),
+    ("customer", "c_name", "party_name", "direct", False, True, None, None, None),
+    ("nation", "n_nationkey", "nation_id", "direct", True, False, "customer", "c_nationkey", "JOIN"),
+    ("nation", "n_name", "nation_name", "lower(n_name)", False, False, None, None, "JOIN"),
+    ("region", "r_regionkey", "region_id", "direct", True, False, "nation", "n_regionkey", "JOIN"),
+    ("region", "r_name", "region_name", "direct", False, False, None, None, "JOIN"),
+    ("supplier", "s_suppkey", "party_id", "direct", True, False, None, None, "UNION"),
+    ("supplier", "s_name", "party_name", "direct", False, False, None, None, "UNION"),
+]
+
+
+@query("""
+SELECT c_custkey AS party_id, c_name AS party_name, n_nationkey AS nation_id, lower(n_name) AS nation_name,
+       r_regionkey AS region_id, r_name AS region_name
+FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey
+UNION ALL SELECT s_suppkey, s_name, NULL, NULL, NULL, NULL FROM supplier
+""")
+def table_from_mapping_rows(spark, d):
+    rows = [
+        (i, "silver", table, column, "gold", "dim_party", target, text, key, driving, other, other_column, kind)
+        for i, (table, column, target, text, key, driving, other, other_column, kind) in enumerate(_PARTY_ROWS, 1)
+    ]
+    mapping = generated.load_rows(spark.createDataFrame(rows, DIM_FACT_TABLE), "dim_party")
+    return generated.assemble({t: read(spark, d, t) for t in mapping}, mapping)
