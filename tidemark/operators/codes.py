@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.keys import number_rows
+from tidemark.session import materialize
 
 
 def code_table(df: DataFrame, column: str, code: str) -> DataFrame:
-    """One row per distinct non-null value with its position in sort order."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    """One row per distinct non-null value with its position in sort order.
+
+    The distinct values are written to the shared folder, so ``df`` is read
+    once for them.
+    """
+    values = materialize(df.select(column).where(F.col(column).isNotNull()).distinct(), "code-values")
     return number_rows(values, [column], code, after=-1)
 
 

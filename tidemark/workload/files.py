@@ -91,9 +91,13 @@ def bu_consolidate(spark, d):
     return raw_zone.load_table(None, first.rows, "customer_stg_h")
 
 
-@query()
+@query("""
+SELECT DISTINCT c_mktsegment AS "BU", 'PASSED' AS "MESSAGE", TRUE AS timed FROM customer
+""")
 def file_log(spark, d):
-    return raw_zone.consolidate(spark, _bu_tree(spark, d, "raw-log"), "tbl=customer").log
+    log = raw_zone.consolidate(spark, _bu_tree(spark, d, "raw-log"), "tbl=customer").log
+    timed = (F.col("MODIFICATIONTIME") > 0).alias("timed")
+    return log.select(files.folder(F.col("PATH"), 2).alias("BU"), "MESSAGE", timed).distinct()
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -287,7 +291,14 @@ def json_key_drift(spark, d):
     return project.json_drift(read(spark, d, "events"), "props", known=[])
 
 
-@query()
+@query("""
+SELECT CAST(id AS INTEGER) AS "Mapping_Id", 'dbo' AS "Src_Schema_nm", 'events' AS "Src_tbl_nm", src AS "Src_cl_nm",
+       'source1' AS "Src_nm", 'bronze' AS "Dst_Schema_nm", 'events' AS "Dst_tbl_nm", dst AS "Dst_cl_nm",
+       FALSE AS "Is_join_cl", 'direct' AS "Transformation"
+FROM (VALUES (1, 'event_id', 'event_id'), (2, 'event_type', 'event_type'), (3, 'ts', 'ts'), (4, 'user_id', 'user_id'),
+             (5, 'props', 'props_c'), (6, 'value', 'value_c')) m(id, src, dst)
+WHERE EXISTS (SELECT 1 FROM events)
+""")
 def drift_mapping(spark, d):
     arrived = _arrived_json(spark, d)
     added = [name for change, name, _, _ in project.drift(arrived.schema, _known_schema(spark, d)) if change == "added"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.ml import classify
 from tidemark.operators.joins import lookup_join
+from tidemark.session import materialize
 from tidemark.workload.registry import query, read
 
 CATEGORIES = ["lang", "source"]
@@ -28,14 +29,21 @@ def _labelled(spark, d):
 
 
 def _prepared(spark, d):
-    rows = _labelled(spark, d).withColumn("label", F.col("quality").cast("double"))
-    return classify.fit_features(rows, CATEGORIES, NUMBERS).transform(rows)
+    """Feature vectors, measured from the texts once and written for the fits that follow."""
+    rows = materialize(_labelled(spark, d).withColumn("label", F.col("quality").cast("double")), "measures")
+    return materialize(classify.fit_features(rows, CATEGORIES, NUMBERS).transform(rows), "features")
 
 
 def _split(spark, d):
     return classify.hash_split(_prepared(spark, d), "doc_id")
 
 
+def _fit_on_train(spark, d, estimator):
+    """The model fitted on the training rows, and all rows to score."""
+    rows = _prepared(spark, d)
+    return estimator.fit(classify.hash_split(rows, "doc_id")[0]), rows
+
+
 _SEGMENTS = """
 ranked AS (
   SELECT c_mktsegment AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS DOUBLE) AS idx
@@ -78,9 +86,19 @@ def ml_split(spark, d):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query()
-def ml_pipeline(spark, d):
-    rows = _labelled(spark, d)
+@query(r"""
+WITH rows AS (SELECT d.*, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+ranked AS (
+  SELECT quality, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(quality AS VARCHAR)) - 1 AS DOUBLE) AS label
+  FROM rows GROUP BY quality)
+SELECT doc_id, label,
+       CAST((SELECT count(DISTINCT lang) + count(DISTINCT source) + 4 FROM rows) AS INTEGER) AS n_features,
+       2.0::DOUBLE + n_chars + len(regexp_split_to_array(text, '\s+')) + len(string_split(text, chr(10)))
+         + CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS feature_sum
+FROM rows JOIN ranked USING (quality)
+""")
+def ml_fit_transform(spark, d):
+    rows = materialize(_labelled(spark, d), "measures")
     model = classify.fit_features(rows, CATEGORIES, NUMBERS, label_source="quality")
     vectors = model.transform(rows).withColumn("vector", vector_to_array("features"))
     return vectors.select("doc_id", "label", F.size("vector").alias("n_features"), F.aggregate("vector", F.lit(0.0), lambda a, b: a + b).alias("feature_sum"))
@@ -106,8 +124,8 @@ def ml_forest(spark, d):
 
 @query()
 def ml_predict(spark, d):
-    train, _ = _split(spark, d)
-    return classify.score(classify.forest().fit(train), _prepared(spark, d), ["doc_id", "lang", "source"])
+    model, rows = _fit_on_train(spark, d, classify.forest())
+    return classify.score(model, rows, ["doc_id", "lang", "source"])
 
 
 @query()
@@ -143,6 +161,6 @@ def ml_coefficients(spark, d):
 
 @query()
 def ml_prediction_counts(spark, d):
-    train, _ = _split(spark, d)
-    scored = classify.score(classify.forest().fit(train), _prepared(spark, d), ["lang"])
+    model, rows = _fit_on_train(spark, d, classify.forest())
+    scored = classify.score(model, rows, ["lang"])
     return scored.groupBy("lang", "prediction").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "prediction")
