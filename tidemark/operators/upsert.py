@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_null, any_of, differs
@@ -52,7 +52,8 @@ def merge(
     common non-key column differs) or a list of columns to compare.
     ``immutable`` columns keep the target's value on update.  ``stamp`` sets
     columns on inserted and updated rows.  Columns of one side only are kept
-    and filled with null on the other; names match without case.
+    and filled with null on the other; names match without case.  An action
+    column stored with the target is replaced.
 
     When the batch passes the size check it is broadcast, and the target is
     neither shuffled nor sorted; otherwise both sides are shuffled once for a
@@ -62,6 +63,7 @@ def merge(
     stamp = stamp or {}
     if target is None:
         return source.withColumns({**stamp, ACTION: F.lit("I")})
+    target = target.drop(ACTION)
     spelled = {c.lower(): c for c in target.columns}
     source = source.withColumnsRenamed({c: spelled.get(c.lower(), c) for c in source.columns})
     keys = [spelled.get(k.lower(), k) for k in keys]
@@ -164,19 +166,13 @@ def update_matched(target, source, keys, set_columns: dict[str, Column] | None =
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:
-    """One row: rows inserted, updated, unchanged, kept."""
-    return merged.agg(*_counters())
+    """One row: rows inserted, updated, unchanged, kept.
 
-
-def _counters() -> list[Column]:
+    Written together with its action column, a snapshot is counted by reading
+    that column alone, so the merge runs once for rows and counts.
+    """
     names = {"I": "num_inserted_rows", "U": "num_updated_rows", "N": "num_unchanged_rows", "K": "num_kept_rows"}
-    return [F.count_if(F.col(ACTION) == code).alias(name) for code, name in names.items()]
-
-
-def observe_merge(merged: DataFrame, name: str = "merge") -> tuple[DataFrame, Observation]:
-    """The same rows with counters attached: one write yields data and counts."""
-    seen = Observation(name)
-    return merged.observe(seen, *_counters()), seen
+    return merged.agg(*[F.count_if(F.col(ACTION) == code).alias(name) for code, name in names.items()])
 
 
 def table_update(df: DataFrame, predicate: Column, assign: dict[str, Column]) -> DataFrame:

@@ -142,12 +142,9 @@ FROM t0 t FULL OUTER JOIN s1 s ON t.o_orderkey = s.o_orderkey
 """)
 def merge_metrics(spark, d):
     merged = upsert.upsert_columns(target_orders(spark, d), batch_one(spark, d), KEY)
-    observed, seen = upsert.observe_merge(merged)
-    write_parquet(upsert.snapshot(observed), shared_dir(spark, "merge-metrics"))
-    return spark.createDataFrame(
-        [seen.get],
-        "num_inserted_rows bigint, num_updated_rows bigint, num_unchanged_rows bigint, num_kept_rows bigint",
-    )
+    path = shared_dir(spark, "merge-metrics")
+    write_parquet(merged, path)
+    return upsert.merge_counts(spark.read.parquet(path))
 
 
 @query(f"WITH {ORDERS_SQL} SELECT *, 'I' AS _action FROM s1")
