@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from tidemark.functions import ranges, sizing

@@ -6,10 +6,10 @@ from tidemark.operators import latest
 
 
 def test_latest_flag_golden(spark):
-    target = spark.createDataFrame([(1, "lk", 1), (2, "venkat", 1), (3, "eeshan", 1)], "id int, name string, IsLatest int")
-    batch = spark.createDataFrame([(1, "Lakshmikanth", 1), (1, "Lucky", 2)], "id int, name string, seq int")
+    target = spark.createDataFrame([(1, "old", 1), (2, "two", 1), (3, "three", 1)], "id int, name string, IsLatest int")
+    batch = spark.createDataFrame([(1, "mid", 1), (1, "new", 2)], "id int, name string, seq int")
     assert rows(latest.latest_flag(target, batch, "id", "seq")) == [
-        (1, "Lakshmikanth", 0), (1, "Lucky", 1), (1, "lk", 0), (2, "venkat", 1), (3, "eeshan", 1),
+        (1, "mid", 0), (1, "new", 1), (1, "old", 0), (2, "two", 1), (3, "three", 1),
     ]
 
 
