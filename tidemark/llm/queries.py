@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing, token_counts, token_files
+from tidemark.llm import exact_dedup, language, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.texts import table
 from tidemark.session import shared_dir
 
@@ -19,6 +19,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +44,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_files, op7_exact_dedup, op8_best_fit_packing, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_token_files,
+        op2_language_id,
+        op3_quality_classifier,
+        op6_toxicity,
+        op7_exact_dedup,
+        op8_best_fit_packing,
+        op10_token_counts,
+    )
 }
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}

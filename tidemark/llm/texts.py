@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Where this package lies.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; workers on this machine find the package where the driver has it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
