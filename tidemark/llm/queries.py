@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, quality, token_counts, token_files, toxicity
 from tidemark.llm.texts import table
 from tidemark.session import shared_dir
 
@@ -27,6 +27,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,6 +43,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, shared_dir(spark, "token-counts"))
 
@@ -49,10 +57,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_token_files,
         op2_language_id,
         op3_quality_classifier,
+        op4_benchmark_decontamination,
         op6_toxicity,
         op7_exact_dedup,
         op8_best_fit_packing,
+        op9_ngram_jaccard_join,
         op10_token_counts,
     )
 }
-SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
+SQL: dict[str, str] = {
+    "op4_benchmark_decontamination": decontaminate.SQL,
+    "op7_exact_dedup": exact_dedup.SQL,
+    "op9_ngram_jaccard_join": jaccard.SQL,
+}
