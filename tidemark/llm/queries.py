@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, quality, token_counts, token_files, toxicity
+from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, phrases, quality, token_counts, token_files, toxicity
 from tidemark.llm.texts import table
 from tidemark.session import shared_dir
 
@@ -31,6 +31,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_language_id,
         op3_quality_classifier,
         op4_benchmark_decontamination,
+        op5_repeated_phrases,
         op6_toxicity,
         op7_exact_dedup,
         op8_best_fit_packing,
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op4_benchmark_decontamination": decontaminate.SQL,
+    "op5_repeated_phrases": phrases.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op9_ngram_jaccard_join": jaccard.SQL,
 }
