@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.features import Batch, Words, class_of, fold, grams, words
 from tidemark.llm.samples import draw, labelled
 from tidemark.llm.texts import bounded, crc_of_id, for_python, id_back
+from tidemark.session import materialize
 
 WORD_BITS, CHAR_BITS = 15, 15
 ORDERS = (3, 4, 5)
@@ -347,7 +348,7 @@ def _scorer(model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
         for frame in bounded(frames, "text", BATCH):
             texts = frame["text"].tolist()
             found = score_texts(texts, learned) if learned else np.zeros(len(texts))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "score": found})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "key": frame["key"].to_numpy(), "score": found})
 
     return score
 
@@ -363,7 +364,23 @@ def score_toxicity(
     Without labels of both classes nothing can be learned and all score 0.
     Repeated rows and null ids come back as given, an empty table gives none.
     """
+    return scored_texts(docs, labels, folds, held_out, threshold, settings).drop("key")
+
+
+def scored_texts(
+    docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.5, settings: Settings = Settings()
+) -> DataFrame:
+    """:func:`score_toxicity` with a hash of the text, ``key``, that tells texts under one id apart."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, folds, held_out, settings))
-    scored = for_python(docs).mapInPandas(_scorer(model), "doc_id long, score double").withColumn("doc_id", id_back())
+    keyed = for_python(docs).withColumn("key", F.xxhash64("text"))
+    scored = keyed.mapInPandas(_scorer(model), "doc_id long, key long, score double").withColumn("doc_id", id_back())
     fold_of = F.coalesce(crc_of_id() % folds == held_out, F.lit(False))
-    return scored.select("doc_id", fold_of.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select("doc_id", "key", fold_of.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text the classifier does not reject."""
+    bad = scored_texts(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    bad = materialize(bad.distinct(), "toxic")
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]) & (key == bad["__key"]), "left_anti")
