@@ -26,14 +26,37 @@ def test_classification_round_trip(spark):
     names = classify.feature_names(train)
     assert "size" in names and len(names) == len(model.coefficients)
     assert classify.coefficients(model, names, train).count() == len(names) + 1
-    assert classify.roc(model).count() > 2
+    curve = classify.roc(classify.score(model, train, ["label"]))
+    assert curve.agg(F.max("FPR"), F.max("TPR")).first()[:] == (1.0, 1.0) and curve.count() > 2
+    assert len(names) == 2 + 1  # three colours, the rarest has no feature
     searched = classify.cross_validate(classify.tree(), train, {"maxDepth": [1, 3]}, folds=2)
     assert len(searched.avgMetrics) == 2
 
 
-def test_too_many_categories(spark):
-    with pytest.raises(ValueError, match="code table"):
-        classify.check_categories(sample(spark), ["colour"], limit=2)
+def test_roc_and_area_by_hand(spark, small_buckets):
+    # scores 4, 3, 3, 2, 1 with labels 1, 1, 0, 0, 1
+    df = spark.createDataFrame([(4.0, 1), (3.0, 1), (3.0, 0), (2.0, 0), (1.0, 1)], "s double, y int")
+    third = 1 / 3
+    assert rows(classify.roc(df, "y", "s")) == [(0.0, 0.0), (0.0, third), (0.5, 2 * third), (1.0, 2 * third), (1.0, 1.0)]
+    # of 6 pairs 3 are in order and one is tied
+    assert classify.area_under_roc(df, "y", "s").first()["area"] == 3.5 / 6
+    many = spark.range(200).select((F.col("id") % 37).cast("double").alias("s"), (F.col("id") % 3 % 2).cast("int").alias("y"))
+    pairs = many.where("y = 1").alias("p").crossJoin(many.where("y = 0").alias("n"))
+    share = pairs.agg(F.avg(F.when(F.col("p.s") > F.col("n.s"), 1.0).when(F.col("p.s") == F.col("n.s"), 0.5).otherwise(0.0))).first()[0]
+    assert abs(classify.area_under_roc(many, "y", "s").first()["area"] - share) < 1e-12
+
+
+def test_index_is_by_frequency(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string")
+    assert rows(classify.string_index(df, "v", "i").distinct()) == [("a", 1.0), ("b", 2.0), ("c", 0.0)]
+
+
+def test_unknown_categories(spark):
+    df = sample(spark)
+    other = df.withColumn("colour", F.lit("new"))
+    assert classify.fit_features(df, ["colour"], ["size"], unknown="skip").transform(other).count() == 0
+    kept = classify.fit_features(df, ["colour"], ["size"], unknown="keep").transform(other)
+    assert len(kept.first()["features"]) == 4
 
 
 def runs(spark):
@@ -58,7 +81,7 @@ def test_rollup_and_pending(spark):
     df = runs(spark)
     assert rows(history.job_rollup(df, "name", "status", "attempt", "error")) == [("p", "FAILED", "e1", 2), ("q", "FAILED", "e2", 2)]
     tables = spark.createDataFrame([("p",), ("q",), ("r",)], "name string")
-    assert rows(history.pending_tables(tables, df, ["name"], "status", [F.col("begun")])) == [("p", "FAILED"), ("r", None)]
+    assert rows(history.pending_tables(tables, df, ["name"], "status", [F.col("begun").desc()])) == [("q", "FAILED"), ("r", None)]
 
 
 def test_windows(spark):

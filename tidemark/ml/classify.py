@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 10_000
+from tidemark.functions.ranges import bucket_of, split_points
+from tidemark.operators.joins import lookup_join
+from tidemark.operators.keys import number_rows
+from tidemark.session import materialize
 
 # The searched settings.
 LOGISTIC_GRID = {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
@@ -21,19 +22,16 @@ TREE_GRID = {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}
 FOREST_GRID = {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
 
 
-def check_categories(df: DataFrame, columns: Iterable[str], limit: int = MAX_CATEGORIES) -> None:
-    """Indexers keep every category on the driver; refuse columns with too many."""
-    columns = list(columns)
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    for c in columns:
-        if counts[c] > limit:
-            raise ValueError(f"{c} has about {counts[c]} categories; encode it with a code table instead")
-
-
 def string_index(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """Index categories by descending frequency, ties in alphabetical order."""
-    check_categories(df, [column])
-    return StringIndexer(inputCol=column, outputCol=alias).fit(df).transform(df)
+    """Index categories by descending frequency, ties in alphabetical order; rows without one drop out.
+
+    The categories stay a table that is joined, whatever their number.
+    """
+    known = df.where(F.col(column).isNotNull())
+    counted = materialize(known.groupBy(column).agg((-F.count(F.lit(1))).alias("_rank_by")), "categories")
+    numbered = number_rows(counted, ["_rank_by", column], "_index", after=-1)
+    index = numbered.select(column, F.col("_index").cast("double").alias(alias))
+    return lookup_join(df, index, [column], "inner")
 
 
 def one_hot(df: DataFrame, column: str, index: str, alias: str) -> DataFrame:
@@ -46,9 +44,18 @@ def assemble(df: DataFrame, columns: list[str], alias: str = "features") -> Data
     return VectorAssembler(inputCols=columns, outputCol=alias).transform(df)
 
 
-def feature_pipeline(categories: list[str], numbers: list[str], label_source: str | None = None, label: str = "label") -> Pipeline:
-    """Index and one-hot encode categories, index the label, assemble the features."""
-    stages: list = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categories]
+def feature_pipeline(
+    categories: list[str], numbers: list[str], label_source: str | None = None, label: str = "label", unknown: str = "error"
+) -> Pipeline:
+    """Index and one-hot encode categories, index the label, assemble the features.
+
+    A category of ``n`` values gives ``n - 1`` features, the rarest is all
+    zeros.  ``unknown`` says what a value does that was not seen in fitting:
+    "error", "skip" its row, or "keep" it, in which case it is the one that is
+    all zeros and every known value has a feature.  The fitted indexers hold
+    the categories, as the vectors have a place for each.
+    """
+    stages: list = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid=unknown) for c in categories]
     if categories:
         stages.append(
             OneHotEncoder(
@@ -61,10 +68,10 @@ def feature_pipeline(categories: list[str], numbers: list[str], label_source: st
     return Pipeline(stages=stages)
 
 
-def fit_features(df: DataFrame, categories: list[str], numbers: list[str], label_source: str | None = None) -> PipelineModel:
-    if categories:
-        check_categories(df, categories)
-    return feature_pipeline(categories, numbers, label_source).fit(df)
+def fit_features(
+    df: DataFrame, categories: list[str], numbers: list[str], label_source: str | None = None, unknown: str = "error"
+) -> PipelineModel:
+    return feature_pipeline(categories, numbers, label_source, unknown=unknown).fit(df)
 
 
 def hash_split(df: DataFrame, key: str, share: float = 0.7) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +105,7 @@ def score(model, df: DataFrame, keep: list[str]) -> DataFrame:
 
 def evaluate(scored: DataFrame, label: str = "label", raw: str = "rawPrediction") -> dict[str, float]:
     """Areas under the ROC and the precision-recall curve."""
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw)
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, numBins=0)
     return {m: evaluator.setMetricName(m).evaluate(scored) for m in ("areaUnderROC", "areaUnderPR")}
 
 
@@ -110,7 +117,7 @@ def cross_validate(estimator: Estimator, train: DataFrame, grid: dict[str, list]
     return CrossValidator(
         estimator=estimator,
         estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
+        evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
         numFolds=folds,
         parallelism=parallelism,
         seed=100,
@@ -129,9 +136,45 @@ def coefficients(model, features: list[str], df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([*weights, ("(intercept)", float(model.intercept))], "feature string, weight double")
 
 
-def roc(model) -> DataFrame:
-    """The ROC curve of the training data as rows."""
-    return model.summary.roc
+def roc(scored: DataFrame, label: str = "label", score_column: str = "probability_1") -> DataFrame:
+    """The ROC curve as rows, ``FPR, TPR``: a point for each distinct score and the origin.
+
+    The distinct scores are cut into ordered ranges; sums run within a range
+    and start from the totals of the ranges before it, so no task sorts all
+    scores.
+    """
+    # rising with falling scores
+    scored = scored.select((-F.col(score_column)).alias("_s"), (F.col(label) == 1).alias("_y"))
+    counted = scored.groupBy("_s").agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n"))
+    counted = materialize(counted, "roc-scores")
+    ranged = counted.withColumn("_range", bucket_of(counted, ["_s"], split_points(counted, ["_s"])))
+    totals = ranged.groupBy("_range").agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        "_range", F.coalesce(F.sum("_tp").over(earlier), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_tn").over(earlier), F.lit(0)).alias("_bn")
+    )
+    within = Window.partitionBy("_range").orderBy("_s")
+    summed = ranged.withColumn("_p", F.sum("_p").over(within)).withColumn("_n", F.sum("_n").over(within)).join(F.broadcast(before), "_range")
+    whole = counted.agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n"))
+    points = summed.crossJoin(F.broadcast(whole)).select(
+        ((F.col("_n") + F.col("_bn")) / F.col("_all_n")).alias("FPR"), ((F.col("_p") + F.col("_bp")) / F.col("_all_p")).alias("TPR")
+    )
+    origin = scored.sparkSession.createDataFrame([(0.0, 0.0)], "FPR double, TPR double")
+    return origin.unionByName(points)
+
+
+def area_under_roc(scored: DataFrame, label: str = "label", score_column: str = "probability_1") -> DataFrame:
+    """One row, ``area``: the share of (positive, negative) pairs that are in order, ties counted half."""
+    counted = scored.groupBy(score_column).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
+    counted = materialize(counted.select(F.col(score_column).alias("_s"), "_p", "_n"), "roc-scores")
+    ranged = counted.withColumn("_range", bucket_of(counted, ["_s"], split_points(counted, ["_s"])))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranged.groupBy("_range").agg(F.sum("_n").alias("_t")).select("_range", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"))
+    within = Window.partitionBy("_range").orderBy("_s")
+    below = (F.sum("_n").over(within) + F.col("_b") - F.col("_n")).alias("_below")
+    joined = ranged.join(F.broadcast(before), "_range").select("_p", "_n", below)
+    twice = F.sum(F.col("_p") * (2 * F.col("_below") + F.col("_n")))
+    return joined.agg((twice / (2 * F.sum("_p") * F.sum("_n"))).alias("area"))
 
 
 def tree_summary(model, df: DataFrame) -> DataFrame:

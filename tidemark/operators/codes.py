@@ -21,7 +21,12 @@ def code_table(df: DataFrame, column: str, code: str) -> DataFrame:
 
 
 def encode(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Add a code column per category column; rows with a null category drop out."""
-    for column, code in columns.items():
-        df = lookup_join(df, code_table(df, column, code), [column], "inner")
+    """Add a code column per category column; rows with a null category drop out.
+
+    Every code table numbers the values of the whole input, so codes depend
+    neither on the order of the columns nor on nulls in other columns.
+    """
+    tables = {column: code_table(df, column, code) for column, code in columns.items()}
+    for column, table in tables.items():
+        df = lookup_join(df, table, [column], "inner")
     return df

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.compare import all_of, any_null, differs
-from tidemark.functions.ranges import hot_keys
 from tidemark.functions.sizing import fits_broadcast
 
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -22,23 +23,27 @@ def lookup_join(
     """Join a large table with a table that has at most one row per key.
 
     ``how`` is inner, left, left_semi or left_anti.  A lookup that passes the
-    size check is broadcast.  A larger one is shuffled, except for the hot
-    keys of ``rows``: their few lookup rows (one per key) are broadcast, so
-    no task receives all rows of a hot key or of a null key.
+    size check is broadcast.  A larger one is joined in one shuffle that reads
+    each side once, so a chain of joins grows by one scan with each: rows with
+    a null key match nothing and are spread by their content, and Spark splits
+    the partition of a hot key while it runs (adaptive skew join).
     """
     if lookup_fits is None:
         lookup_fits = fits_broadcast(lookup)
     if lookup_fits:
         return rows.join(F.broadcast(lookup), on, how)
-    hot = hot_keys(rows, on)
-    if hot is None:
-        hot = rows.sparkSession.createDataFrame([], rows.select(*on).schema)
-    mark = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    marked = rows.join(mark, on, "left").withColumn("_hot", F.coalesce("_hot", any_null(on)))
-    few = F.broadcast(lookup.join(F.broadcast(hot), on, "left_semi"))
-    spread = marked.where("_hot").drop("_hot").join(few, on, how)
-    shuffled = marked.where("NOT _hot").drop("_hot").join(lookup, on, how)
-    return spread.unionByName(shuffled)
+    content = [f.name for f in rows.schema if not _holds_map(f.dataType)]
+    spread = F.when(any_null(on), F.xxhash64(*content)).otherwise(F.lit(0).cast("bigint"))
+    left = rows.withColumn("_spread", spread)
+    return left.join(lookup.withColumn("_spread", F.lit(0).cast("bigint")), [*on, "_spread"], how).drop("_spread")
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType)
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -38,6 +38,7 @@ def load_table(target: DataFrame | None, batch: DataFrame, table: str, bu: str =
     return target.unionByName(batch, allowMissingColumns=True)
 
 
-def failure_log(paths: DataFrame, error: str) -> DataFrame:
-    """Log rows for files that could not be loaded; long messages are cut."""
-    return paths.withColumn("MESSAGE", F.substring(F.lit(error), 1, 300))
+def failure_log(paths: DataFrame, error: str, limit: int | None = None) -> DataFrame:
+    """Log rows for files that could not be loaded; messages are cut only if a ``limit`` is given."""
+    message = F.lit(error) if limit is None else F.substring(F.lit(error), 1, limit)
+    return paths.withColumn("MESSAGE", message)

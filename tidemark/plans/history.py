@@ -46,10 +46,14 @@ def next_attempt(batches: DataFrame, name: str, attempt: str) -> DataFrame:
 
 
 def pending_tables(tables: DataFrame, processes: DataFrame, keys: list[str], status: str, started: list[Column]) -> DataFrame:
-    """Tables whose first status is FAILED, RUNNING, empty or missing."""
-    first = top_one(processes, keys, started).select(*keys, F.col(status).alias("first_status"))
+    """Tables whose first status by the order ``started`` is FAILED, RUNNING, empty or missing.
+
+    Order by the latest start first, so that a retry that succeeded settles
+    the table.
+    """
+    first = top_one(processes, keys, started).select(*keys, F.col(status).alias("last_status"))
     joined = lookup_join(tables, first, keys, "left")
-    return joined.where(F.coalesce("first_status", F.lit("")).isin("FAILED", "RUNNING", ""))
+    return joined.where(F.coalesce("last_status", F.lit("")).isin("FAILED", "RUNNING", ""))
 
 
 def job_rollup(batches: DataFrame, job: str, status: str, attempt: str, error: str) -> DataFrame:

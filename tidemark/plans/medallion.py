@@ -4,17 +4,49 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.hashing import row_checksum
+from tidemark.functions.hashing import hash_key, row_checksum
 from tidemark.operators import project, scd2, upsert
 from tidemark.operators.scd2 import Scd2Spec
 from tidemark.plans import watermark
 from tidemark.session import materialize
+from tidemark.sinks.tables import SnapshotTable
 from tidemark.spec import ColumnMap, SyncRow, keys_of, validate_mapping
 
 
+def run_bronze(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    row: SyncRow,
+    mapping: list[ColumnMap],
+    control: DataFrame,
+    mapping_rows: DataFrame,
+    run_ts: Column,
+    schemas: tuple[str, str] = ("", ""),
+) -> tuple[DataFrame, DataFrame, list[tuple]]:
+    """A whole bronze load: write the snapshot, then derive mapping rows and the watermark from it.
+
+    ``schemas`` are the source's and the target's, for the mapping rows.
+    Returns the control rows with the advanced watermark, the mapping rows to
+    append for added columns, and the drift.  Both come after the write, so a
+    load that fails leaves the watermark where it was.
+    """
+    table = SnapshotTable(spark, path)
+    load = bronze_load(source, table.read(), row, mapping, run_ts)
+    table.overwrite(load.merged)
+    mapped = {m.source.lower() for m in mapping}
+    added = [c for c in source.columns if c.lower() not in mapped]
+    new_rows = project.drift_mapping(mapping_rows, added, row.source_name, schemas[0], row.table, schemas[1], row.table)
+    if row.change_column:
+        moved = next((m.target for m in mapping if m.source == row.change_column), row.change_column)
+        control = watermark.advance(control, table.read(), row.table, moved)
+    return control, new_rows, load.drift
+
+
 class BronzeLoad(NamedTuple):
     """The next snapshot with its actions, and the drift found.
 
@@ -38,18 +70,26 @@ def bronze_load(
     """Load one source table into bronze; a full load replaces, an incremental one merges.
 
     Lineage and modification time are set on every inserted or updated row in
-    both modes.  Columns the mapping does not name are reported as drift and
-    loaded under their own name.  An incremental batch is extracted once and
-    written to the shared folder before it is merged.
+    both modes.  Columns the mapping does not name are loaded under their own
+    name.  Drift compares what is loaded with the target's columns (added,
+    removed, retyped), or with the mapping while there is no target.  A full
+    load takes every row, also those without a change date.  An incremental
+    batch is extracted once and written to the shared folder before it is
+    merged.
     """
     validate_mapping(source, mapping, need_key=row.incremental)
     extracted = source
-    if row.change_column:
+    if row.incremental and row.change_column:
         extracted = project.watermark_filter(source, row.change_column, watermark.current(row), only_if_present=True)
     mapped = {m.source.lower() for m in mapping}
     added = [c for c in source.columns if c.lower() not in mapped]
-    drift = project.drift(source.schema, source.drop(*added).schema)
     full_mapping = [*mapping, *[ColumnMap(c, c) for c in added]]
+    if target is None:
+        drift = project.drift(source.schema, source.drop(*added).schema)
+    else:
+        own = {modified.lower(), lineage.lower(), upsert.ACTION.lower()}
+        before = T.StructType([f for f in target.schema if f.name.lower() not in own])
+        drift = project.drift(project.map_project(source, full_mapping).schema, before)
     batch = project.add_lineage(project.map_project(extracted, full_mapping), **{lineage: row.source_name})
     if not row.incremental or target is None:
         return BronzeLoad(batch.withColumns({modified: run_ts, upsert.ACTION: F.lit("I")}), drift)
@@ -82,11 +122,47 @@ def silver_upsert(
 
 
 def gold_dimension(silver: DataFrame, dim: DataFrame | None, spec: Scd2Spec, change_column: str, since: Column, compat: bool = False) -> DataFrame:
-    """Silver rows changed since the window start, applied to the dimension."""
-    rows = project.watermark_filter(silver, change_column, since)
-    columns = [*spec.keys, *spec.tracked, spec.start]
-    unique = upsert.dedupe_batch(rows.select(*columns), spec.keys, [F.col(spec.start).desc()])
-    return scd2.apply(dim, unique, spec, compat)
+    """Silver rows changed since the window start, applied to the dimension.
+
+    The dimension matches rows by their hash key, in which a null equals a
+    null; so the batch is reduced to one row per hash key, null keys included.
+    """
+    return scd2.apply(dim, _dimension_batch(silver, spec, change_column, since), spec, compat)
+
+
+def _dimension_batch(silver: DataFrame, spec: Scd2Spec, change_column: str, since: Column) -> DataFrame:
+    rows = project.watermark_filter(silver, change_column, since).select(*spec.keys, *spec.tracked, spec.start)
+    keyed = rows.withColumn("_hash", hash_key(rows, spec.keys))
+    return upsert.dedupe_batch(keyed, ["_hash"], [F.col(spec.start).desc()]).drop("_hash")
+
+
+def load_dimension(
+    spark: SparkSession, silver: DataFrame, path: str, spec: Scd2Spec, change_column: str, since: Column
+) -> DataFrame:
+    """Load into a dimension stored under ``path``: current rows as snapshots, closed versions appended.
+
+    Only current rows are read and rewritten; the versions that this load
+    closes are added to ``closed``, whose files are never read or touched.  A
+    key's newest surrogate is that of its current row, so the next ones follow
+    from the current rows alone.  Closed versions become visible before the
+    snapshot does and carry its number, so those of a load that died are not
+    counted.
+    """
+    table = SnapshotTable(spark, f"{path}/current")
+    version = (table.version() or 0) + 1
+    batch = _dimension_batch(silver, spec, change_column, since)
+    after = materialize(scd2.apply(table.read(), batch, spec), "dimension-load")
+    closed = after.where(F.col(scd2.ACTION) == "closed").drop(scd2.ACTION)
+    closed.withColumn("_load", F.lit(version)).write.mode("append").parquet(f"{path}/closed")
+    table.overwrite(after.where(F.col(scd2.ACTION) != "closed").drop(scd2.ACTION))
+    return read_dimension(spark, path)
+
+
+def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """Current and closed versions of a stored dimension."""
+    table = SnapshotTable(spark, f"{path}/current")
+    closed = spark.read.parquet(f"{path}/closed").where(F.col("_load") <= table.version()).drop("_load").distinct()
+    return table.read().unionByName(closed)
 
 
 def gold_fact(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,20 +29,27 @@ def local_session(cpus: int | str = "*", app: str = "tidemark") -> SparkSession:
     )
 
 
+#: Folders of local sessions without the setting, and all paths given out, in order.
+_OWN: dict[str, str] = {}
+_HANDED_OUT: list[str] = []
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session.  Only a local session without it
-    gets a folder of its own; a cluster session without it is an error, since
+    The setting is read from the session.  Only a session whose executors run
+    in the driver (``local[...]``, as in tests) goes without it and gets a
+    folder of its own; anywhere else a missing setting is an error, since
     executors cannot see a folder on the driver's disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
 
 
 def materialize(df, label: str):
@@ -47,3 +57,22 @@ def materialize(df, label: str):
     path = shared_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the shared folders that are handed out inside, on the way out.
+
+    For a caller that writes its result to a place of its own:
+
+        with intermediates(spark):
+            table.overwrite(gold_dimension(...))
+    """
+    before = len(_HANDED_OUT)
+    try:
+        yield
+    finally:
+        for path in _HANDED_OUT[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _HANDED_OUT[before:]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.compare import all_of, any_of
-from tidemark.operators.joins import lookup_join
 from tidemark.operators.project import union_all_by_name
 from tidemark.operators.upsert import merge, snapshot
 from tidemark.session import materialize
@@ -21,11 +20,10 @@ MAX_TOUCHED = 1000
 class SnapshotTable:
     """A parquet table whose every overwrite is a new folder.
 
-    A version becomes visible when its marker file is created under
-    ``_versions``, after a claim on its number.  The create of a claim fails
-    when it exists, so of two writers that started from one version the second
-    gets an error and nothing is half replaced.  A number claimed by a writer
-    that died is skipped.  Readers of an older version are not disturbed.
+    The folder is written first; the version becomes visible when its marker
+    file is created under ``_versions``, so nothing is ever half replaced and
+    readers of an older version are not disturbed.  One writer at a time: a
+    table with several writers belongs into a catalog with transactions.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -69,19 +67,12 @@ class SnapshotTable:
         base = self.version()
         if merge_schema and base is not None:
             df = union_all_by_name([self.read(base).limit(0), df])
-        number = max([base or 0, *self._numbers("_claims")]) + 1
+        number = (base or 0) + 1
         folder = f"v{number}-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/{folder}")
-        self._publish(base, number, folder)
-        return number
-
-    def _publish(self, base: int | None, number: int, folder: str) -> None:
-        claim = self._path("_claims", str(number))
-        self._fs().create(claim, False).close()
-        if self.version() != base:
-            raise RuntimeError(f"{self.path}: another writer published version {self.version()} meanwhile")
         self._fs().create(self._path("_versions", f"{number}.{folder}"), False).close()
+        return number
 
 
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -103,31 +94,46 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
     rebalanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def read_partitioned(spark: SparkSession, path: str, like: DataFrame, partition_by: list[str]) -> DataFrame:
+    """A partitioned table whose partition columns have the types they have in ``like``."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, like.schema[f.name].dataType) if f.name in partition_by else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def merge_partitions(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_by: list[str], **options
 ) -> DataFrame:
     """Merge a batch into a partitioned table and rewrite only the partitions it touches.
 
-    A key must never change its partition.  The merged partitions are written
-    to the shared folder first, so the table is not read while it is
-    replaced.  Returns the merged rows with their actions.
+    A key must never change its partition; a null partition value is a value
+    like any other.  Partition columns are read with the batch's types, not
+    with types guessed from folder names.  The merged partitions are written
+    to the shared folder first, so the table is not read while it is replaced.
+    Returns the merged rows with their actions.
     """
-    touched = batch.select(*partition_by).distinct().limit(MAX_TOUCHED + 1).collect()
-    target = spark.read.parquet(path)
-    if len(touched) <= MAX_TOUCHED:
-        wanted = any_of([all_of([F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in touched])
+    touched = batch.select(*partition_by).distinct()
+    few = touched.limit(MAX_TOUCHED + 1).collect()
+    target = read_partitioned(spark, path, batch, partition_by)
+    if len(few) <= MAX_TOUCHED:  # as literals, so that other folders are not even listed
+        wanted = any_of([all_of([F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in few])
         target = target.where(wanted)
     else:
-        target = lookup_join(target, batch.select(*partition_by).distinct(), partition_by, "left_semi")
+        named = touched.withColumnsRenamed({c: f"_touched_{c}" for c in partition_by})
+        target = target.join(named, all_of([F.col(c).eqNullSafe(F.col(f"_touched_{c}")) for c in partition_by]), "left_semi")
     merged = materialize(merge(target, batch, keys, **options), "merged-partitions")
     replace_partitions(snapshot(merged), path, partition_by)
     return merged
 
 
 def load_staged(df: DataFrame, path: str, table: str, bu: str = "BU") -> None:
-    """History staging tables (``*_stg_h``) replace their BUs, others append."""
+    """History staging tables (``*_stg_h``) replace their BUs, others append.
+
+    Rows without a BU replace nothing: they are added to those there.
+    """
     if table.endswith("_stg_h"):
-        replace_partitions(df, path, [bu])
+        replace_partitions(df.where(F.col(bu).isNotNull()), path, [bu])
+        append_rows(df.where(F.col(bu).isNull()), path, [bu])
     else:
         append_rows(df, path, [bu])
 
@@ -142,6 +148,14 @@ def add_columns(spark: SparkSession, name: str, columns: str) -> None:
     spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 
+def truncate_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"TRUNCATE TABLE {name}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def create_table_as(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
     writer = df.write.mode("overwrite")
     (writer.option("path", location) if location else writer).saveAsTable(name)

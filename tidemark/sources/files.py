@@ -78,6 +78,13 @@ def folder(path: Column, up: int) -> Column:
     return F.regexp_replace(name, "^[^=]*=", "")
 
 
+def folder_below(file: Column, root: str) -> Column:
+    """The first folder of a file below ``root``, however deep the file lies; ``key=value`` gives the value."""
+    inside = F.regexp_replace(F.lit(root.rstrip("/")), "^[a-z0-9]+:/+", "/")
+    rest = F.element_at(F.split(file, F.concat(F.lit("\\Q"), inside, F.lit("/\\E")), 2), 2)
+    return F.regexp_replace(F.element_at(F.split(rest, "/"), 1), "^[^=]*=", "")
+
+
 def scan_bu_tree(spark: SparkSession, path: str, table: str, since_ms: int = 0, schema: T.StructType | str | None = None) -> DataFrame:
     """One table of a ``<path>/<BU>/<table>/*`` tree, all BUs, with its BU as a column."""
     reader = spark.read
@@ -86,7 +93,7 @@ def scan_bu_tree(spark: SparkSession, path: str, table: str, since_ms: int = 0,
     rows = reader.option("recursiveFileLookup", True).parquet(f"{path}/*/{table}")
     newer = F.col("_metadata.file_modification_time") > F.timestamp_millis(F.lit(since_ms))
     rows = with_file_columns(rows.where(newer))
-    return rows.withColumn("BU", folder(F.col("file_path"), 2))
+    return rows.withColumn("BU", folder_below(F.col("file_path"), path))
 
 
 def file_log(rows: DataFrame, message: str = "PASSED") -> DataFrame:

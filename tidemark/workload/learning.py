@@ -38,6 +38,23 @@ def _split(spark, d):
     return classify.hash_split(_prepared(spark, d), "doc_id")
 
 
+def _scored(spark, d):
+    documents = read(spark, d, "documents").select("doc_id", F.col("n_chars").alias("s"))
+    return lookup_join(documents, read(spark, d, "labels").select("doc_id", F.col("quality").alias("y")), ["doc_id"], "inner")
+
+
+def _searched(spark, d, estimator, grid):
+    """Every setting of the grid with its mean area over five folds."""
+    train, _ = _split(spark, d)
+    searched = classify.cross_validate(estimator, train.cache(), grid)
+    train.unpersist()
+    rows = [
+        (str(dict(sorted((p.name, float(v)) for p, v in setting.items()))), float(area))
+        for setting, area in zip(searched.getEstimatorParamMaps(), searched.avgMetrics)
+    ]
+    return spark.createDataFrame(rows, "setting string, area_under_roc double")
+
+
 def _fit_on_train(spark, d, estimator):
     """The model fitted on the training rows, and all rows to score."""
     rows = _prepared(spark, d)
@@ -92,8 +109,9 @@ ranked AS (
   SELECT quality, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(quality AS VARCHAR)) - 1 AS DOUBLE) AS label
   FROM rows GROUP BY quality)
 SELECT doc_id, label,
-       CAST((SELECT count(DISTINCT lang) + count(DISTINCT source) + 4 FROM rows) AS INTEGER) AS n_features,
-       2.0::DOUBLE + n_chars + len(regexp_split_to_array(text, '\s+')) + len(string_split(text, chr(10)))
+       CAST((SELECT count(DISTINCT lang) - 1 + count(DISTINCT source) - 1 + 4 FROM rows) AS INTEGER) AS n_features,
+       CAST(lang <> (SELECT lang FROM rows GROUP BY lang ORDER BY count(*), lang DESC LIMIT 1) AS DOUBLE)
+         + CAST(source <> (SELECT source FROM rows GROUP BY source ORDER BY count(*), source DESC LIMIT 1) AS DOUBLE) + n_chars + len(regexp_split_to_array(text, '\s+')) + len(string_split(text, chr(10)))
          + CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS feature_sum
 FROM rows JOIN ranked USING (quality)
 """)
@@ -137,20 +155,50 @@ def ml_evaluate(spark, d):
 
 @query()
 def ml_cross_validate(spark, d):
-    train, _ = _split(spark, d)
-    grid = {"regParam": classify.LOGISTIC_GRID["regParam"][:2], "maxIter": [5]}
-    searched = classify.cross_validate(classify.logistic(), train, grid, folds=3)
-    rows = [
-        (str(dict(sorted((p.name, float(v)) for p, v in setting.items()))), float(area))
-        for setting, area in zip(searched.getEstimatorParamMaps(), searched.avgMetrics)
-    ]
-    return spark.createDataFrame(rows, "setting string, area_under_roc double")
+    return _searched(spark, d, classify.logistic(), classify.LOGISTIC_GRID)
+
+
+@query()
+def ml_cross_validate_tree(spark, d):
+    return _searched(spark, d, classify.tree(), classify.TREE_GRID)
+
+
+@query()
+def ml_cross_validate_forest(spark, d):
+    return _searched(spark, d, classify.forest(), classify.FOREST_GRID)
 
 
 @query()
 def ml_roc(spark, d):
     train, _ = _split(spark, d)
-    return classify.roc(classify.logistic().fit(train))
+    return classify.roc(classify.score(classify.logistic().fit(train), train, ["label"]))
+
+
+_SCORED = "scored AS (SELECT n_chars AS s, quality AS y FROM documents JOIN labels USING (doc_id))"
+
+
+@query(f"""
+WITH {_SCORED}, totals AS (SELECT count(*) FILTER (y = 1) AS p, count(*) FILTER (y <> 1) AS n FROM scored)
+SELECT 0.0::DOUBLE AS "FPR", 0.0::DOUBLE AS "TPR"
+UNION ALL
+SELECT sum(count(*) FILTER (y <> 1)) OVER falling / any_value(n)::DOUBLE, sum(count(*) FILTER (y = 1)) OVER falling / any_value(p)::DOUBLE
+FROM scored, totals GROUP BY s WINDOW falling AS (ORDER BY s DESC)
+""")
+def ml_roc_points(spark, d):
+    """The curve of a given score, here the number of characters."""
+    return classify.roc(_scored(spark, d), "y", "s")
+
+
+@query(f"""
+WITH {_SCORED}, ranked AS (
+  SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS r FROM scored)
+SELECT (sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0::DOUBLE)
+       / (count(*) FILTER (y = 1) * count(*) FILTER (y <> 1)) AS area
+FROM ranked
+""")
+def ml_area_under_roc(spark, d):
+    """The area by the rank formula."""
+    return classify.area_under_roc(_scored(spark, d), "y", "s")
 
 
 @query()

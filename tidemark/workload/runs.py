@@ -68,16 +68,16 @@ def next_attempt(spark, d):
 
 @query(f"""
 WITH {_RUNS},
-first_run AS (
-  SELECT user_id, status AS first_status FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM runs) WHERE rn = 1)
-SELECT c.c_custkey AS user_id, f.first_status
-FROM customer c LEFT JOIN first_run f ON c.c_custkey = f.user_id
-WHERE f.first_status IS NULL OR f.first_status IN ('FAILED', 'RUNNING')
+last_run AS (
+  SELECT user_id, status AS last_status FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM runs) WHERE rn = 1)
+SELECT c.c_custkey AS user_id, f.last_status
+FROM customer c LEFT JOIN last_run f ON c.c_custkey = f.user_id
+WHERE f.last_status IS NULL OR f.last_status IN ('FAILED', 'RUNNING')
 """)
 def pending_tables(spark, d):
     tables = read(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
-    return history.pending_tables(tables, _runs(spark, d), ["user_id"], "status", [F.col("ts"), F.col("event_id")])
+    return history.pending_tables(tables, _runs(spark, d), ["user_id"], "status", [F.col("ts").desc(), F.col("event_id").desc()])
 
 
 @query(f"""
