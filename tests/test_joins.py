@@ -64,3 +64,28 @@ def test_changed_rows_null_modes(spark):
 def test_generated_join_needs_keys(spark):
     with pytest.raises(ValueError):
         joins.generated_join(spark.range(1), {"id": "id"}, [joins.JoinStep(spark.range(1), ())])
+
+
+@pytest.mark.parametrize("lookups", [2, 4, 6])
+def test_chained_lookups_read_each_table_once(spark, lookups, tmp_path):
+    spark.range(200).selectExpr("id", *[f"id % {i + 3} as k{i}" for i in range(lookups)]).write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    for i in range(lookups):
+        spark.range(i + 3).selectExpr(f"id as k{i}", f"id * 10 as v{i}").write.parquet(f"{tmp_path}/{i}")
+        df = joins.lookup_join(df, spark.read.parquet(f"{tmp_path}/{i}"), [f"k{i}"], "left", lookup_fits=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(df)
+        found = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("FileScan") == lookups + 1
+    assert len(found) == 200 and all(r[f"v{i}"] == 10 * r[f"k{i}"] for r in found for i in range(lookups))
+
+
+def test_null_keys_are_spread_and_match_nothing(spark):
+    rows = spark.createDataFrame([(None, i, {"m": i}) for i in range(50)] + [(1, 99, None)], "k long, v long, m map<string,long>")
+    lookup = spark.createDataFrame([(None, "null"), (1, "one")], "k long, name string")
+    left = joins.lookup_join(rows, lookup, ["k"], "left", lookup_fits=False)
+    assert left.count() == 51 and left.where("name is not null").count() == 1 and left.columns == ["k", "v", "m", "name"]
+    assert joins.lookup_join(rows, lookup, ["k"], "left_anti", lookup_fits=False).count() == 50

@@ -136,3 +136,26 @@ def test_null_key_is_one_key(spark, monkeypatch, fits):
     monkeypatch.setattr(scd2, "fits_broadcast", lambda df: fits)
     dim = load(spark, [{None: "a"}, {None: "a"}, {None: "b"}])
     assert rows(dim.select("v", SPEC.current)) == [("a", "N"), ("b", "Y")]
+
+
+def test_stored_load_leaves_closed_history_alone(spark, tmp_path):
+    from tidemark.plans import medallion
+
+    def load_day(values, day):
+        silver = batch(spark, values, day).withColumn("changed", F.lit("2024-01-01").cast("timestamp_ntz"))
+        return medallion.load_dimension(spark, silver, str(tmp_path), SPEC, "changed", F.lit("1900-01-01").cast("timestamp_ntz"))
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in (tmp_path / "closed").rglob("*.parquet")}
+
+    steps = [{1: "a", 2: "b", None: "n"}, {1: "c", None: "n"}, {1: "a", 3: "d", None: "m"}]
+    dim, seen = None, {}
+    for i, values in enumerate(steps):
+        dim = load_day(values, DAY + timedelta(days=31 * i))
+        now = files()
+        assert seen.items() <= now.items()
+        seen = now
+    plain = load(spark, steps)
+    key = [SPEC.surrogate, "id", "v", SPEC.start, SPEC.end, SPEC.current]
+    assert rows(dim.select(*key)) == rows(plain.select(*key))
+    assert dim.select(SPEC.surrogate).distinct().count() == dim.count()

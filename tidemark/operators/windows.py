@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import any_null
-from tidemark.functions.hashing import hash_key
 from tidemark.functions.ranges import bucket_of, hot_keys, split_points
 
 
@@ -64,17 +63,12 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[Column]) -> Da
 
     Spark keeps at most one row per key and map task before the shuffle
     (window group limit).  Rows with a null in the key are different unknown
-    keys: they are all kept and spread by their content.
+    keys: all of them are kept, equal ones too, and they pass by the window.
     """
-    spread = null_spread(df, keys)
-    w = Window.partitionBy(*keys, "_spread").orderBy(*order_by)
-    ranked = df.withColumn("_spread", spread).withColumn("_rn", F.row_number().over(w))
-    return ranked.where("_rn = 1").drop("_rn", "_spread")
-
-
-def null_spread(df: DataFrame, keys: list[str]) -> Column:
-    """'' for complete keys; for keys with a null, a hash of the whole row."""
-    return F.when(any_null(keys), hash_key(df, df.columns)).otherwise(F.lit(""))
+    unknown = any_null(keys)
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    ranked = df.where(~unknown).withColumn("_rn", F.row_number().over(w))
+    return ranked.where("_rn = 1").drop("_rn").unionByName(df.where(unknown))
 
 
 def top_rank(df: DataFrame, partition_by: list[str], order_by: list[Column]) -> DataFrame:

@@ -149,6 +149,7 @@ def add_columns(spark: SparkSession, name: str, columns: str) -> None:
 
 
 def truncate_table(spark: SparkSession, name: str) -> None:
+    """Remove all rows of a table that the catalog manages."""
     spark.sql(f"TRUNCATE TABLE {name}")
 
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tidemark.workload import dimensions, files, layers, learning, merging, relational, runs  # noqa: F401
+from tidemark.workload import dimensions, edges, files, layers, learning, merging, relational, runs  # noqa: F401
 from tidemark.workload.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import project
 from tidemark.plans import consolidate as raw_zone
-from tidemark.session import shared_dir
+from tidemark.session import materialize, shared_dir
 from tidemark.sinks import files as file_sinks
 from tidemark.sinks import tables as table_sinks
 from tidemark.sources import files, payload
-from tidemark.streaming.ingest import StreamTables, file_stream, ingest
+from tidemark.streaming.ingest import StreamTables, evolving_schema, file_stream, ingest
 from tidemark.workload.registry import money, ntz, query, read
 
 NTZ_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -39,9 +39,14 @@ def scan_table(spark, d):
     return files.scan_table(spark, name).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
 
 
-@query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity > 45")
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def scan_parquet(spark, d):
-    return files.scan_parquet(spark, f"{d}/lineitem.parquet").where("l_quantity > 45").select("l_orderkey", "l_quantity")
+    """An explicit list of folders, the later ones with a further column."""
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    paths = [f"{shared_dir(spark, 'lines')}/{flag}" for flag in ("low", "high")]
+    file_sinks.write_parquet(lines.where("l_quantity <= 45"), paths[0])
+    file_sinks.write_parquet(lines.where("l_quantity > 45 OR l_quantity IS NULL").withColumn("more", F.lit(1)), paths[1])
+    return files.scan_parquet(spark, *paths, merge_schema=True).drop("more")
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
@@ -71,33 +76,54 @@ def scan_new_files(spark, d):
 
 
 def _bu_tree(spark, d, label: str) -> str:
-    """``<root>/bu=<segment>/tbl=customer``, one folder per market segment."""
+    """``<root>/bu=<segment>/tbl=customer/year=2024/month=<m>``: a folder per market segment, files deeper below."""
     root = shared_dir(spark, label)
-    customers = _customers(spark, d).withColumnRenamed("c_mktsegment", "bu").withColumn("tbl", F.lit("customer"))
-    file_sinks.write_parquet(customers, root, partition_by=["bu", "tbl"])
+    _drop_files(_customers(spark, d), root)
     return root
 
 
+def _drop_files(customers, root: str) -> None:
+    named = customers.withColumnRenamed("c_mktsegment", "bu")
+    deep = {"tbl": F.lit("customer"), "year": F.lit(2024), "month": F.col("c_custkey") % 3}
+    file_sinks.write_parquet(named.withColumns(deep), root, mode="append", partition_by=["bu", "tbl", "year", "month"])
+
+
 @query('SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment AS "BU" FROM customer')
 def scan_bu_tree(spark, d):
     rows = files.scan_bu_tree(spark, _bu_tree(spark, d, "raw-tree"), "tbl=customer")
     return rows.drop("file_path", "modified_ms")
 
 
-@query('SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment AS "BU" FROM customer')
+@query("""
+SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || ' v2' ELSE c_name END AS c_name, c_nationkey,
+       CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment AS "BU"
+FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_custkey % 2 = 0
+""")
 def bu_consolidate(spark, d):
+    """Two loads: the second brings half of one BU again, whose history is replaced; older files are not read twice."""
     root = _bu_tree(spark, d, "raw-consolidate")
     first = raw_zone.consolidate(spark, root, "tbl=customer")
-    return raw_zone.load_table(None, first.rows, "customer_stg_h")
+    table, log = materialize(raw_zone.load_table(None, first.rows, "customer_stg_h"), "staged"), materialize(first.log, "file-log")
+    again = _customers(spark, d).where("c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0")
+    _drop_files(again.withColumn("c_name", F.concat("c_name", F.lit(" v2"))), root)
+    second = raw_zone.consolidate(spark, root, "tbl=customer", log)
+    return raw_zone.load_table(table, second.rows, "customer_stg_h")
 
 
 @query("""
-SELECT DISTINCT c_mktsegment AS "BU", 'PASSED' AS "MESSAGE", TRUE AS timed FROM customer
+SELECT DISTINCT c_mktsegment AS "BU", CASE WHEN c_mktsegment = 'BUILDING' THEN 'cannot read' ELSE 'PASSED' END AS "MESSAGE",
+       TRUE AS timed, TRUE AS named, CAST(count(DISTINCT c_custkey % 3) AS BIGINT) AS files
+FROM customer GROUP BY c_mktsegment
 """)
 def file_log(spark, d):
-    log = raw_zone.consolidate(spark, _bu_tree(spark, d, "raw-log"), "tbl=customer").log
-    timed = (F.col("MODIFICATIONTIME") > 0).alias("timed")
-    return log.select(files.folder(F.col("PATH"), 2).alias("BU"), "MESSAGE", timed).distinct()
+    """Outcome per file, a failed BU included."""
+    root = _bu_tree(spark, d, "raw-log")
+    log = raw_zone.consolidate(spark, root, "tbl=customer").log.withColumn("BU", files.folder_below(F.col("PATH"), root))
+    failed = F.col("BU") == "BUILDING"
+    log = log.where(~failed).unionByName(raw_zone.failure_log(log.where(failed), "cannot read"))
+    named = F.col("ID").rlike("^[A-Za-z0-9_]+$") & F.col("ID").endswith("parquet") & F.col("PATH").contains("month=")
+    rows = log.select("BU", "MESSAGE", "PATH", (F.col("MODIFICATIONTIME") > 0).alias("timed"), named.alias("named"))
+    return rows.groupBy("BU", "MESSAGE", "timed", "named").agg(F.count_distinct("PATH").alias("files"))
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -225,12 +251,18 @@ def sink_sorted(spark, d):
     return files.scan_parquet(spark, path)
 
 
-@query("SELECT CAST(user_id AS VARCHAR) AS \"ID\", count(*) AS n FROM events GROUP BY user_id")
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS "ID", count(*) AS n, NULL::VARCHAR AS kind FROM events GROUP BY user_id
+UNION ALL SELECT event_type, count(*), 'type' FROM events GROUP BY event_type
+""")
 def append_log(spark, d):
+    """Two appends, the second with a column more."""
     path = shared_dir(spark, "log")
-    counts = read(spark, d, "events").groupBy(F.col("user_id").cast("string").alias("ID")).agg(F.count(F.lit(1)).alias("n"))
-    table_sinks.append_rows(counts, path)
-    return spark.read.parquet(path)
+    events = read(spark, d, "events")
+    table_sinks.append_rows(events.groupBy(F.col("user_id").cast("string").alias("ID")).agg(F.count(F.lit(1)).alias("n")), path)
+    by_type = events.groupBy(F.col("event_type").alias("ID")).agg(F.count(F.lit(1)).alias("n"))
+    table_sinks.append_rows(by_type.withColumn("kind", F.lit("type")), path)
+    return table_sinks.read_appended(spark, path)
 
 
 @query("SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS note, c_mktsegment FROM customer")
@@ -238,8 +270,17 @@ def ddl_roundtrip(spark, d):
     name = f"customer_{uuid.uuid4().hex}"
     columns = "c_custkey BIGINT, c_name STRING, c_mktsegment STRING"
     table_sinks.create_table(spark, name, columns, ["c_mktsegment"], shared_dir(spark, "customer-table"))
-    read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment").write.insertInto(name)
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    gone = f"gone_{uuid.uuid4().hex}"
+    table_sinks.create_table(spark, gone, columns)
+    rows.write.insertInto(gone)
+    table_sinks.truncate_table(spark, gone)
+    spark.table(gone).write.insertInto(name)  # none
+    table_sinks.drop_table(spark, gone)
+    rows.write.insertInto(name)
     table_sinks.add_columns(spark, name, "note STRING")
+    if files.table_exists(spark, gone):
+        raise RuntimeError(f"{gone} was not dropped")
     return spark.table(name)
 
 
@@ -285,10 +326,13 @@ def schema_drift(spark, d):
 
 
 @query("""
-SELECT k AS column_name, count(*) AS rows_with_key FROM (SELECT unnest(json_keys(props)) AS k FROM events) GROUP BY k
+SELECT 'c_nationkey' AS column_name, count(c_nationkey) AS rows_with_key FROM customer
+UNION ALL SELECT 'c_mktsegment', count(nullif(c_mktsegment, 'BUILDING')) FROM customer
 """)
 def json_key_drift(spark, d):
-    return project.json_drift(read(spark, d, "events"), "props", known=[])
+    """Whole rows as JSON, two of their keys known, one key not in every row."""
+    rows = read(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment"))
+    return project.json_drift(project.rows_as_json(rows), "json", known=["c_custkey", "c_name"])
 
 
 @query("""
@@ -323,7 +367,7 @@ def stream_file_ingest(spark, d):
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/table")
 
 
-@query("SELECT event_id, event_type, 'bronze' AS layer FROM events WHERE event_type <> 'error'")
+@query("SELECT event_id, event_type, 'bronze' AS layer FROM events")
 def stream_declared_table(spark, d):
     root = shared_dir(spark, "declared")
     file_sinks.write_json(read(spark, d, "events"), f"{root}/landing", **NTZ_JSON)
@@ -332,6 +376,21 @@ def stream_declared_table(spark, d):
     @declared.table(quality="bronze")
     def events_bronze(session):
         stream = file_stream(session, f"{root}/landing", EVENT_SCHEMA, **NTZ_JSON)
-        return stream.where("event_type <> 'error'").select("event_id", "event_type", F.lit("bronze").alias("layer"))
+        return stream.select("event_id", "event_type", F.lit("bronze").alias("layer"))
 
     return declared.run(spark, root)["events_bronze"]
+
+
+@query("""
+SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props FROM events
+""")
+def stream_schema_evolves(spark, d):
+    """The second drop of files has a column more; the schema is remembered from run to run."""
+    root = shared_dir(spark, "events-evolving")
+    events = read(spark, d, "events")
+    early, late = events.where(F.col("ts") < ntz("2024-01-16")), events.where(F.col("ts") >= ntz("2024-01-16"))
+    for part in (early.select("event_id", "event_type"), late.select("event_id", "event_type", "props")):
+        file_sinks.write_json(part, f"{root}/landing", mode="append")
+        schema = evolving_schema(spark, f"{root}/landing", f"{root}/schema")
+        ingest(file_stream(spark, f"{root}/landing", schema), f"{root}/table", f"{root}/checkpoint")
+    return spark.read.schema("event_id bigint, event_type string, props string").parquet(f"{root}/table")

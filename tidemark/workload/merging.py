@@ -13,7 +13,7 @@ from tidemark.session import materialize, shared_dir
 from tidemark.sinks.files import write_parquet
 from tidemark.sinks.tables import load_staged, merge_partitions
 from tidemark.workload.changes import (
-    LINE_COLUMNS, LINES_SQL, ORDER_COLUMNS, ORDERS_SQL, RUN_TS, batch_lines, batch_one,
+    LINE_COLUMNS, LINES_SQL, ORDER_COLUMNS, ORDERS_SQL, RUN_TS, all_orders, batch_lines, batch_one,
     distinct_sql, merge_sql, target_lines, target_orders,
 )
 from tidemark.workload.registry import money, ntz, query, read, sql_checksum, sql_hash_key
@@ -147,9 +147,9 @@ def merge_metrics(spark, d):
     return upsert.merge_counts(spark.read.parquet(path))
 
 
-@query(f"WITH {ORDERS_SQL} SELECT *, 'I' AS _action FROM s1")
+@query(f"WITH {ORDERS_SQL} SELECT *, 'I' AS _action FROM all_orders")
 def upsert_bootstrap(spark, d):
-    return upsert.upsert_columns(None, batch_one(spark, d), KEY)
+    return upsert.upsert_columns(None, all_orders(spark, d), KEY)
 
 
 @query("""
