@@ -64,12 +64,13 @@ def latest_flag_end_ts(
     Current target rows of those groups and the batch rows are pooled; per
     group the highest ``key`` is latest and stays open, the others end at
     their own timestamp (``end_from="self"``) or at their successor's
-    (``"successor"``).  The pool is written to the shared folder and merged
-    into the target.
+    (``"successor"``).  The pool is written to the shared folder first, so the
+    target and the batch are read once for it, and the flagged rows again
+    before they are merged into the target.
     """
     end_type = target.schema[end].dataType
     current = rows_with_keys(target.where(F.col(flag) == 1), batch, [group]).distinct()
-    pool = current.unionByName(batch, allowMissingColumns=True)
+    pool = materialize(current.unionByName(batch, allowMissingColumns=True), "latest-rows")
     marked = _with_group_max(pool, [group], key, "_last")
     closing = ts
     if end_from == "successor":

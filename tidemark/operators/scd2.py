@@ -163,13 +163,14 @@ def rebuild(versions: DataFrame, spec: Scd2Spec, sample_from: DataFrame | None =
         sample_from = versions.select(F.col(spec.start).cast("date").alias(spec.start))
     keys = list(spec.keys)
     rows = prepare(versions, spec)
-    before = neighbour(rows, keys, [spec.start], spec.checksum, "_before", step=-1, points_from=sample_from)
+    raw = versions.select(*keys)
+    before = neighbour(rows, keys, [spec.start], spec.checksum, "_before", step=-1, points_from=sample_from, hot_from=raw)
     kept = before.where(F.col("_before").isNull() | (F.col("_before") != F.col(spec.checksum)))
     kept = kept.withColumn(
         spec.start,
         F.when(F.col("_before").isNull(), F.lit(spec.first_start).cast("date")).otherwise(F.col(spec.start)),
     ).drop("_before")
-    after = neighbour(kept, keys, [spec.start], spec.start, "_after", points_from=sample_from)
+    after = neighbour(kept, keys, [spec.start], spec.start, "_after", points_from=sample_from, hot_from=raw)
     open_row = F.col("_after").isNull()
     return after.select(
         *[c for c in spec.columns if c not in (spec.surrogate, spec.end, spec.current)],

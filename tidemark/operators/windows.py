@@ -17,6 +17,7 @@ def neighbour(
     alias: str,
     step: int = 1,
     points_from: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``lead(value)`` (``step=1``) or ``lag(value)`` (``step=-1``) per key.
 
@@ -26,12 +27,13 @@ def neighbour(
     previous) range.  (key, order) must be unique; a (key, range) group then
     holds at most about one bucket of all rows.  The ranges come from
     ``points_from`` when given, e.g. a cheaper frame with the same order
-    columns; they never change the result.
+    columns; they never change the result.  Hot keys are counted on
+    ``hot_from`` when given, a cheaper frame with the same keys.
     """
     if step not in (1, -1):
         raise ValueError("step must be 1 or -1")
     near = F.lead if step == 1 else F.lag
-    hot = hot_keys(df, partition_by, nulls=True)
+    hot = hot_keys(df if hot_from is None else hot_from, partition_by, nulls=True)
     if hot is None:
         return df.withColumn(alias, near(value).over(Window.partitionBy(*partition_by).orderBy(*order_by)))
     points = split_points(points_from if points_from is not None else df, order_by)
