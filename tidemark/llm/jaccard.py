@@ -11,9 +11,10 @@ Counts for the order come from all documents, in a fixed number of counters
 that n-grams share; any order gives the same result, a truer one fewer pairs.
 
 Groups of copies never become all pairs.  Equal sets are one class, known by
-its smallest id.  Classes that share a prefix n-gram are first compared with
-one of them only; what that links is one component, and only pairs across
-components are compared afterwards.
+its smallest id.  The first class that has a prefix n-gram stands for all that
+share it; each class is compared with the one such first that it shares most
+with, then with others that it is not joined to yet.  What that links is one
+component, and only pairs across components are compared at the end.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.sizing import fits_broadcast
 from tidemark.llm.components import components
 from tidemark.llm.features import WIDE, WIDE_2, Batch, words
 from tidemark.llm.texts import bounded, for_python, id_back
@@ -106,34 +108,10 @@ def _prefixes(shared, hot: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     return prefix
 
 
-def _whole(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Whole sets of the documents that a bitmap says may be wanted."""
-
-    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
-        for frame in bounded((f[bits[f["place"].to_numpy()]] for f in frames), "text", BATCH):
-            found = [g.view(np.int64) for g in sets(frame["text"].tolist())]
-            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "grams": pd.Series(found, dtype=object)})
-
-    return whole
-
-
-#: Places in the bitmap of wanted documents: 2 MB, whatever their number.
-BITMAP = 1 << 24
-
-
-def _place(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(BITMAP)).cast("int")
-
-
-def wanted_bitmap(ids: DataFrame) -> np.ndarray:
-    """Truth for each place that an id of ``doc_id`` falls on; others fall there too, so a join must follow."""
-    bit = F.expr("shiftleft(1L, place % 64)")
-    filled = ids.select(_place("doc_id").alias("place")).groupBy((F.col("place") / 64).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits"))
-    rows = filled.toPandas()
-    out = np.zeros(BITMAP // 64, np.int64)
-    out[rows["at"].to_numpy(int)] = rows["bits"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in bounded(frames, "text", BATCH):
+        found = [g.view(np.int64) for g in sets(frame["text"].tolist())]
+        yield frame[["doc_id", "as_a", "as_b"]].assign(grams=pd.Series(found, dtype=object, index=frame.index))
 
 
 def similar_size(a: str, b: str) -> Column:
@@ -177,35 +155,46 @@ class Join:
 
     @staticmethod
     def pairs(rows: DataFrame) -> DataFrame:
-        """Distinct pairs ``a < b`` of rows ``rep, n_at, first, first_n_at`` that pass the length and positional filters."""
+        """``rep, first, shared``: pairs of rows that pass the length and positional filters, and how many n-grams say so."""
         n, at = F.shiftright("n_at", 32).alias("n_b"), F.col("n_at").bitwiseAND((1 << 32) - 1).alias("at_b")
         first_n, first_at = F.shiftright("first_n_at", 32).alias("n_a"), F.col("first_n_at").bitwiseAND((1 << 32) - 1).alias("at_a")
         split = rows.where("first <> rep").select("rep", "first", n, at, first_n, first_at)
         passed = split.where(similar_size("n_a", "n_b") & may_overlap("n_a", "at_a", "n_b", "at_b"))
-        return passed.select(F.least("first", "rep").alias("a"), F.greatest("first", "rep").alias("b")).distinct()
+        return passed.groupBy("rep", "first").agg(F.count(F.lit(1)).alias("shared"))
 
     def star_pairs(self) -> DataFrame:
         """Every class with the first of its groups; the firsts of a spread group with the first of all."""
         heads = self.shared.where("salt > 0 and first = rep").drop("first", "first_n_at")
         over = Window.partitionBy("gram").orderBy("rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         heads = heads.withColumn("first", F.first("rep").over(over)).withColumn("first_n_at", F.first("n_at").over(over))
-        return self.pairs(self.shared.unionByName(heads))
+        return materialize(self.pairs(self.shared.unionByName(heads)), "ngram-star")
+
+    @staticmethod
+    def best(star: DataFrame) -> DataFrame:
+        """For each class the first that it shares most n-grams with, the smallest of several."""
+        return star.groupBy("rep").agg(F.max_by("first", F.struct("shared", -F.col("first"))).alias("first"))
 
     def cross_pairs(self, joined: DataFrame) -> DataFrame:
         """Pairs that share a prefix n-gram and are not in one component yet."""
         rows = self.shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
         rows = rows.select("gram", "rep", "n_at", F.coalesce("component", "rep").alias("part"))
         split = rows.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram")
-        rows = rows.join(split, "gram", "left_semi")
-        rows = materialize(rows, "ngram-cross")
+        rows = materialize(rows.join(split, "gram", "left_semi"), "ngram-cross")
         left = rows.select("gram", F.col("rep").alias("first"), F.col("n_at").alias("first_n_at"), F.col("part").alias("first_part"))
-        size = F.shiftright("n_at", 32).alias("n")
-        near = similar_size("n", "first_n")
-        both = rows.withColumn("n", size).join(left.withColumn("first_n", F.shiftright("first_n_at", 32)), "gram")
-        return self.pairs(both.where((F.col("first_part") < F.col("part")) & near))
+        size, first_size = F.shiftright("n_at", 32).alias("n"), F.shiftright("first_n_at", 32).alias("first_n")
+        both = rows.select("*", size).join(left.select("*", first_size), "gram")
+        return self.pairs(both.where((F.col("first_part") < F.col("part")) & similar_size("n", "first_n")))
+
+    @staticmethod
+    def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+        """Pairs that are not in one component yet."""
+        of = joined.withColumnsRenamed({"node": "rep", "component": "part"})
+        both = pairs.join(of, "rep", "left").join(of.withColumnsRenamed({"rep": "first", "part": "first_part"}), "first", "left")
+        return both.where(F.coalesce("part", "rep") != F.coalesce("first_part", "first")).select("rep", "first")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose sets reach the similarity: suffix filter first, then the overlap of the whole sets."""
+        """Links ``a < b`` among the pairs: suffix filter first, then the overlap of the whole sets."""
+        pairs = pairs.select(F.least("rep", "first").alias("a"), F.greatest("rep", "first").alias("b"))
         ranges = self.classes.select("rep", "ranges", "n")
 
         def side(name: str) -> DataFrame:
@@ -216,17 +205,18 @@ class Join:
         # sets that differ in more elements than this cannot be similar
         most = (OF - ABOVE) * (F.col("n_a") + F.col("n_b")) / (ABOVE + OF)
         close = materialize(close.where(apart <= most).select("a", "b").distinct(), "ngram-close")
-        ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        bits = self.spark.sparkContext.broadcast(wanted_bitmap(ids))
-        placed = self.docs.withColumn("place", _place("doc_id"))
-        whole = placed.mapInPandas(_whole(bits), "doc_id long, grams array<long>").join(ids, "doc_id", "left_semi")
+        as_a = close.select(F.col("a").alias("doc_id"), F.lit(True).alias("as_a"), F.lit(False).alias("as_b"))
+        as_b = close.select(F.col("b").alias("doc_id"), F.lit(False).alias("as_a"), F.lit(True).alias("as_b"))
+        ids = as_a.unionByName(as_b).groupBy("doc_id").agg(F.bool_or("as_a").alias("as_a"), F.bool_or("as_b").alias("as_b"))
+        ids = materialize(ids, "ngram-ends")
+        wanted = self.docs.join(F.broadcast(ids) if fits_broadcast(ids) else ids, "doc_id")
+        whole = wanted.mapInPandas(_whole, "doc_id long, as_a boolean, as_b boolean, grams array<long>")
         whole = materialize(whole, "ngram-sets")
-        both = close.join(whole.select(F.col("doc_id").alias("b"), F.col("grams").alias("grams_b")), "b")
-        both = both.join(whole.select(F.col("doc_id").alias("a"), F.col("grams").alias("grams_a")), "a")
+        both = close.join(whole.where("as_b").select(F.col("doc_id").alias("b"), F.col("grams").alias("grams_b")), "b")
+        both = both.join(whole.where("as_a").select(F.col("doc_id").alias("a"), F.col("grams").alias("grams_a")), "a")
         shared = F.size(F.array_intersect("grams_a", "grams_b"))
         union = F.size("grams_a") + F.size("grams_b") - F.col("shared")
         links = both.select("a", "b", "grams_a", "grams_b", shared.alias("shared")).where(OF * F.col("shared") >= ABOVE * union)
-        self.compared = close
         return materialize(links.select("a", "b").distinct(), "ngram-links")
 
 
@@ -248,14 +238,20 @@ def similar_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     classed = join.seen.where("n > 0").join(join.classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"]).select("doc_id", "n", "rep")
     several = classed.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id")
     same_id = classed.join(several, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = join.verify(join.star_pairs()).unionByName(same_id)
-    compared = join.compared
+    star = join.star_pairs()
+    tried = materialize(join.best(star), "ngram-best")
+    links = join.verify(tried).unionByName(same_id)
     joined = materialize(components(links), "ngram-joined")
-    rest = materialize(join.cross_pairs(joined).join(compared, ["a", "b"], "left_anti"), "ngram-rest")
-    if not rest.isEmpty():
+    for candidates in (lambda: star.select("rep", "first"), lambda: join.cross_pairs(joined).select("rep", "first")):
+        rest = join.apart(candidates(), joined).join(tried, ["rep", "first"], "left_anti")
+        rest = materialize(rest, "ngram-rest")
+        if rest.isEmpty():
+            continue
         more = join.verify(rest)
+        tried = tried.unionByName(rest)
         if not more.isEmpty():
-            joined = materialize(components(links.unionByName(more)), "ngram-joined")
+            links = links.unionByName(more)
+            joined = materialize(components(links), "ngram-joined")
     reached = classed.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     reached = reached.select("doc_id", "n", F.coalesce("component", "rep").alias("component_id"))
     alone = join.seen.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
