@@ -11,7 +11,8 @@
    occurrence.  An owner with very many such runs gets several copies of its
    automaton, each for a part of them.
 4. A window that bears a mark but does not occur in the mark's owner can only
-   repeat another such window.  These few are grouped by a 128-bit digest.
+   repeat another such window, and only if a third document has the mark.
+   These few are grouped by a 128-bit digest.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ NOBODY = np.iinfo(np.int64).max
 
 PARTS = "kind int, doc_id long, key long, owner long, start long, n_words long, body binary, kept_sha256 string"
 FOUND = "doc_id long, key long, first long, last long, h1 long, h2 long"
-DOCUMENT, OWNED, RUN = 0, 1, 2
+#: Rows of documents, of windows under their own marks, under marks of an owner, and under marks that two documents have.
+DOCUMENT, OWNED, RUN, RUN_OF_TWO = 0, 1, 2, 3
 
 
 def scramble(h: np.ndarray) -> np.ndarray:
@@ -74,12 +76,13 @@ def _marker(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def recurring(docs: DataFrame) -> DataFrame:
-    """``doc_id, marks, owners``: the marks of each document that another document has too."""
+    """``doc_id, marks, owners, twos``: the marks of each document that another has too; twos: just one other."""
     seen = docs.mapInPandas(_marker, "doc_id long, mark array<long>").select("doc_id", F.explode("mark").alias("mark"))
-    owners = seen.groupBy("mark").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
+    ends = [F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), (F.count(F.lit(1)) == 2).alias("two")]
+    owners = seen.groupBy("mark").agg(*ends).where("owner < last").drop("last")
     shared = seen.join(owners, "mark")
     # a document's own marks: no more than it has words
-    return shared.groupBy("doc_id").agg(F.collect_list("mark").alias("marks"), F.collect_list("owner").alias("owners"))
+    return shared.groupBy("doc_id").agg(*[F.collect_list(c).alias(f"{c}s") for c in ("mark", "owner", "two")])
 
 
 def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,25 +90,27 @@ def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in bounded(frames, "text", BATCH):
         rows = []
         found = marks(Batch.of(frame["text"]))
-        for doc_id, key, text, known, owners, (n, of_windows) in zip(
-            frame["doc_id"].tolist(), frame["key"].tolist(), frame["text"], frame["marks"], frame["owners"], found, strict=True
+        for doc_id, key, text, known, owners, twos, (n, of_windows) in zip(
+            frame["doc_id"].tolist(), frame["key"].tolist(), frame["text"], frame["marks"], frame["owners"], frame["twos"], found, strict=True
         ):
             said = text.encode("utf-8", "surrogatepass").split()
-            owner = np.full(len(of_windows), NOBODY)
+            owner, two = np.full(len(of_windows), NOBODY), np.zeros(len(of_windows), bool)
             if known is not None and len(known) and len(of_windows):
                 order = np.argsort(known)
-                known, owners = np.asarray(known)[order], np.asarray(owners)[order]
+                known, owners, twos = (np.asarray(x)[order] for x in (known, owners, twos))
                 at = np.minimum(np.searchsorted(known, of_windows), len(known) - 1)
                 owner = np.where(known[at] == of_windows, owners[at], NOBODY)
+                two = (owner < doc_id) & twos[at].astype(bool)
             body = b" ".join(said)
             # what only later documents repeat stays whole
             whole = not ((owner < doc_id).any() if len(owner) else False)
             sha = hashlib.sha256(body).hexdigest() if whole else None
             rows.append((DOCUMENT, doc_id, key, 0, 0, n, None if whole else body, sha))
-            cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(owner)]
+            change = (owner[1:] != owner[:-1]) | (two[1:] != two[:-1])
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(owner)]
             for a, b in pairwise(cuts):
                 if b > a and (o := int(owner[a])) != NOBODY:
-                    kind = OWNED if o == doc_id else RUN
+                    kind = OWNED if o == doc_id else RUN_OF_TWO if two[a] else RUN
                     rows.append((kind, doc_id, key, o, a, 0, b" ".join(said[a : b + WINDOW - 1]), None))
         yield pd.DataFrame(rows, columns=["kind", "doc_id", "key", "owner", "start", "n_words", "body", "kept_sha256"])
 
@@ -158,7 +163,7 @@ def _locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 there[one.starts(said)] = True
             edges = np.flatnonzero(np.diff(there, prepend=False, append=False)).tolist()
             rows += [(doc_id, key, start + a, start + b + WINDOW - 2, 0, 0) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-            for i in np.flatnonzero(~there).tolist():
+            for i in np.flatnonzero(~there).tolist() if kind == RUN else []:
                 digest = hashlib.blake2b(b" ".join(said[i : i + WINDOW]), digest_size=16).digest()
                 h1, h2 = np.frombuffer(digest, "<i8").tolist()
                 rows.append((doc_id, key, start + i, -1, h1, h2))
@@ -167,7 +172,7 @@ def _locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def located(parts: DataFrame, runs: int = RUNS) -> DataFrame:
     """``doc_id, key, first, last``: word positions that a window of an earlier document covers."""
-    own, other = parts.where(F.col("kind") == OWNED), parts.where(F.col("kind") == RUN)
+    own, other = parts.where(F.col("kind") == OWNED), parts.where(F.col("kind") > OWNED)
     fans = other.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / runs).cast("int").alias("fan")).where("fan > 1")
     fans = materialize(fans, "phrase-fans")
     fans = F.broadcast(fans) if fits_broadcast(fans) else fans
@@ -212,7 +217,7 @@ def remove_repeats(docs: DataFrame, runs: int = RUNS) -> DataFrame:
     texts = for_python(docs)
     with_marks = texts.withColumn("key", F.xxhash64("text")).join(recurring(texts), "doc_id", "left")
     path = shared_dir(docs.sparkSession, "phrase-parts")
-    with_marks.mapInPandas(_parts, PARTS).write.partitionBy("kind").parquet(path)
+    with_marks.mapInPandas(_parts, PARTS).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     parts = docs.sparkSession.read.schema(PARTS).parquet(path)
     rows = parts.where(F.col("kind") == DOCUMENT).select("doc_id", "key", "n_words", "body", "kept_sha256")
     covers = located(parts, runs).groupBy("doc_id", "key").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
