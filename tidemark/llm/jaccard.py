@@ -2,9 +2,9 @@
 
 The n-grams of a set are ordered by how many documents have them, rarest
 first.  Two sets of Jaccard similarity ``t`` share an n-gram among the first
-``n - ceil(t n) + 1`` of each, so only these prefixes are joined.  Sizes and
-the places of the shared n-gram bound the overlap (length and positional
-filter), sizes of both sets within ranges of the hash bound it again (suffix
+``n - ceil(t n) + 1`` of each, so only these prefixes are joined.  Sizes, the
+places of the shared n-grams and their number bound the overlap (length and
+positional filter), sizes of both sets within ranges of the hash bound it again (suffix
 filter), and the pairs left are verified on the whole sets, once each.
 
 Counts for the order come from all documents, in a fixed number of counters
@@ -183,7 +183,15 @@ class Join:
         left = rows.select("gram", F.col("rep").alias("first"), F.col("n_at").alias("first_n_at"), F.col("part").alias("first_part"))
         size, first_size = F.shiftright("n_at", 32).alias("n"), F.shiftright("first_n_at", 32).alias("first_n")
         both = rows.select("*", size).join(left.select("*", first_size), "gram")
-        return self.pairs(both.where((F.col("first_part") < F.col("part")) & similar_size("n", "first_n")))
+        both = both.where((F.col("first_part") < F.col("part")) & similar_size("n", "first_n"))
+        place = F.col("n_at").bitwiseAND((1 << 32) - 1), F.col("first_n_at").bitwiseAND((1 << 32) - 1)
+        met = both.groupBy("rep", "first", "n", "first_n").agg(
+            F.count(F.lit(1)).alias("shared"), F.min(place[0]).alias("at"), F.min(place[1]).alias("first_at")
+        )
+        # what one set has after its prefix, and the n-grams that both prefixes share, bound the overlap
+        after = F.ceil(ABOVE * F.greatest("n", "first_n") / OF) - 1
+        enough = (ABOVE + OF) * (F.col("shared") + after) >= ABOVE * (F.col("n") + F.col("first_n"))
+        return met.where(may_overlap("n", "at", "first_n", "first_at") & enough)
 
     @staticmethod
     def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
