@@ -6,7 +6,7 @@ import pytest
 
 from tests.conftest import plan
 from tests.llm.conftest import prose
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, texts
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -62,7 +62,7 @@ def test_beyond_the_size_checks(docs, items, monkeypatch):
     rng = random.Random(4)
     asked = [(i, prose(rng, 14)) for i in range(5)]
     rows = [(i, prose(rng, 10) + " " + asked[i % 5][1][: 40 + 10 * (i % 7)] + " " + prose(rng, 4)) for i in range(30)]
-    monkeypatch.setattr(decontaminate, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(texts, "fits_broadcast", lambda df: False)
     assert found(decontaminate.contamination(docs(rows), items(asked))) == brute(rows, asked)
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.sizing import fits_broadcast
+from tidemark.llm.texts import small_side
 from tidemark.session import materialize
 
 #: Words of a window (60 at most); a shorter item is one window.
@@ -61,7 +61,7 @@ class Index:
         """
         end = docs.sparkSession.createDataFrame([("", -1)], "word string, term long")
         wanted = terms.unionByName(end)
-        wanted = F.broadcast(wanted) if fits_broadcast(terms) else wanted
+        wanted = small_side(wanted)
         read = docs.select("doc_id", F.posexplode(F.concat(words(), F.array(F.lit("")))).alias("pos", "word"))
         stored = materialize(read.join(wanted, "word").select("doc_id", "pos", "term"), "postings")
         self.postings = stored.where("term >= 0")
@@ -71,10 +71,6 @@ class Index:
         return self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if fits_broadcast(rows) else rows
-
-
 def occurrences(index: Index, wanted: DataFrame, slack: int = 0, rarest: int = RAREST) -> DataFrame:
     """Where windows occur: ``doc_id, pos, window``, distinct.
 
@@ -93,8 +89,8 @@ def occurrences(index: Index, wanted: DataFrame, slack: int = 0, rarest: int = R
         return _near(index, ranked, slack)
     few = ranked.where(F.col("rank") <= rarest).select("window", "length", "at", "term", "rank")
     rare = few.select("term").distinct()
-    lists = index.postings.join(_small(rare), "term", "left_semi")
-    shifted = lists.join(_small(few), "term").select("doc_id", (F.col("pos") - F.col("at")).alias("pos"), "window", "length", "at")
+    lists = index.postings.join(small_side(rare), "term", "left_semi")
+    shifted = lists.join(small_side(few), "term").select("doc_id", (F.col("pos") - F.col("at")).alias("pos"), "window", "length", "at")
     # the intersection: as many of the rarest terms point to a place as were asked; a bit for each
     pointed = F.expr("bit_count(bit_or(shiftleft(1L, cast(at as int))))").alias("met")
     met = shifted.where("pos >= 0").groupBy("doc_id", "pos", "window", "length").agg(pointed)
@@ -103,7 +99,7 @@ def occurrences(index: Index, wanted: DataFrame, slack: int = 0, rarest: int = R
     done = candidates.where(F.col("length") <= rarest)
     open_ = candidates.where(F.col("length") > rarest)
     more = ranked.where(F.col("rank") > rarest).select("window", "at", "term")
-    asked = open_.join(_small(more), "window").select("doc_id", (F.col("pos") + F.col("at")).alias("at_pos"), "term", "pos", "window", "length")
+    asked = open_.join(small_side(more), "window").select("doc_id", (F.col("pos") + F.col("at")).alias("at_pos"), "term", "pos", "window", "length")
     here = _places(index, candidates)
     found = asked.join(here, (asked["doc_id"].eqNullSafe(here["__doc"])) & (asked["at_pos"] == here["__pos"]) & (asked["term"] == here["__term"]))
     whole = found.groupBy("doc_id", "pos", "window", "length").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") == F.col("length") - rarest)
@@ -114,15 +110,15 @@ def _places(index: Index, candidates: DataFrame) -> DataFrame:
     """Postings of the documents that hold a candidate; several rows of one id are one document's places."""
     docs = candidates.select("doc_id").distinct()
     postings = index.postings
-    near = _small(docs)
+    near = small_side(docs)
     kept = postings.join(near, postings["doc_id"].eqNullSafe(near["doc_id"]), "left_semi")
     return kept.select(F.col("doc_id").alias("__doc"), F.col("pos").alias("__pos"), F.col("term").alias("__term")).distinct()
 
 
 def _near(index: Index, ranked: DataFrame, slack: int) -> DataFrame:
     first = ranked.where("rank = 1").select("window", "length", "at", "term")
-    anchors = index.postings.join(_small(first), "term").select("doc_id", (F.col("pos") - F.col("at")).alias("pos"), "window", "length")
-    asked = anchors.join(_small(ranked.select("window", "at", "term")), "window")
+    anchors = index.postings.join(small_side(first), "term").select("doc_id", (F.col("pos") - F.col("at")).alias("pos"), "window", "length")
+    asked = anchors.join(small_side(ranked.select("window", "at", "term")), "window")
     off = F.explode(F.sequence(F.lit(-slack), F.lit(slack)))
     asked = asked.select("doc_id", "pos", "window", "length", "at", "term", off.alias("off"))
     here = _places(index, anchors)
@@ -147,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     index = Index(docs.select("doc_id", "text"), terms)
     wanted = materialize(windows(read.withColumn("term", F.xxhash64("word").bitwiseAND((1 << 62) - 1)), window), "benchmark-windows")
     found = materialize(occurrences(index, wanted, slack), "occurrences")
-    spans = _small(wanted.select("window", "item_id", "length").distinct())
+    spans = small_side(wanted.select("window", "item_id", "length").distinct())
     hit = found.join(spans, "window")
     covered = hit.select("doc_id", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("length").cast("int") - 1)).alias("at"))
     n_hit = covered.groupBy("doc_id", "at").agg(F.lit(1).alias("one")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_hit"))
@@ -169,7 +165,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose id has no hit."""
     drop = materialize(contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__id")), "contaminated")
-    return docs.join(drop, docs["doc_id"].eqNullSafe(drop["__id"]), "left_anti")
+    return docs.join(small_side(drop), docs["doc_id"].eqNullSafe(drop["__id"]), "left_anti")
 
 
 SQL = """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import only_texts
+from tidemark.llm.texts import only_texts, small_side
 from tidemark.session import materialize
 
 
@@ -112,7 +112,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
         return docs["doc_id"].eqNullSafe(rows["__id"]) & (key == rows["__sha"])
 
     drop_or_repeat = decided.where("not __kept or __n > 1")
-    out = docs.join(drop_or_repeat, matching(drop_or_repeat), "left_anti")
+    out = docs.join(small_side(drop_or_repeat), matching(drop_or_repeat), "left_anti")
     repeated = decided.where("__kept and __n > 1")
     if not repeated.isEmpty():
         out = out.unionByName(docs.join(repeated, matching(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))

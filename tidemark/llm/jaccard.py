@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sizing import fits_broadcast
 from tidemark.llm.components import components
 from tidemark.llm.features import WIDE, WIDE_2, Batch, words
-from tidemark.llm.texts import bounded, for_python, id_back
+from tidemark.llm.texts import bounded, for_python, id_back, small_side
 from tidemark.session import materialize
 
 WORDS = 5
@@ -270,7 +270,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without those that a smaller id of their component stands for."""
     drop = similar_documents(docs).where("component_id < doc_id or component_id is null and doc_id is not null")
     drop = materialize(drop.select(F.col("doc_id").alias("__id")).distinct(), "ngram-drop")
-    return docs.join(drop, docs["doc_id"] == drop["__id"], "left_anti")
+    return docs.join(small_side(drop), docs["doc_id"] == drop["__id"], "left_anti")
 
 
 SQL = """

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.sizing import fits_broadcast
+
 
 #: Where this package lies.
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -38,6 +40,11 @@ def id_back(column: str = "doc_id") -> Column:
     return F.nullif(F.col(column), F.lit(NO_ID)).alias(column)
 
 
+def small_side(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if it passes the size check; else the join shuffles."""
+    return F.broadcast(rows) if fits_broadcast(rows) else rows
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     """crc32 of an id's decimal text, as the folds use it."""
     return F.crc32(F.col(column).cast("string"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.features import Batch, Words, class_of, fold, grams, words
 from tidemark.llm.samples import draw, labelled
-from tidemark.llm.texts import bounded, crc_of_id, for_python, id_back
+from tidemark.llm.texts import bounded, crc_of_id, for_python, id_back, small_side
 from tidemark.session import materialize
 
 WORD_BITS, CHAR_BITS = 15, 15
@@ -383,4 +383,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bad = scored_texts(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
     bad = materialize(bad.distinct(), "toxic")
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__id"]) & (key == bad["__key"]), "left_anti")
+    return docs.join(small_side(bad), docs["doc_id"].eqNullSafe(bad["__id"]) & (key == bad["__key"]), "left_anti")
