@@ -10,6 +10,7 @@ window of a toxic document counts as toxic.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -334,12 +335,23 @@ def learn(texts: list[str], labels: np.ndarray, share: float, settings: Settings
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, settings: Settings) -> tuple[Network, float, float] | None:
+    """The model, or None without labels of both classes; one task learns from the sample, whose size is bounded."""
     known = labelled(labels, "toxic", folds, held_out)
-    sample = draw(docs, known, dict(enumerate(settings.per_class)), settings.max_chars).toPandas().sort_values("key", ignore_index=True)
-    if sample["y"].nunique() < 2:
-        return None
+    sample = draw(docs, known, dict(enumerate(settings.per_class)), settings.max_chars)
     share = known.agg(F.avg("y")).first()[0]
-    return learn(sample["text"].tolist(), sample["y"].to_numpy(), share, settings)
+    learned = sample.repartition(1).mapInPandas(_learner(share, settings), "model binary").first()
+    return pickle.loads(learned["model"]) if learned else None
+
+
+def _learner(share: float | None, settings: Settings) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = list(frames)
+        sample = pd.concat(held).sort_values("key", ignore_index=True) if held else None
+        if sample is not None and sample["y"].nunique() == 2:
+            model = learn(sample["text"].tolist(), sample["y"].to_numpy(), share, settings)
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    return run
 
 
 def _scorer(model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
