@@ -30,7 +30,7 @@ ODD = re.compile(f"^[{SPACE}]|[{SPACE}]$|[{SPACE}] | [{SPACE}]|[\x1c-\x1f]")
 MARK = re.compile(r"(?<=[^\W\d_])([.,])(?= )")
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Pieces that a worker keeps; beyond it, it starts anew.
-MEMO = 700_000
+MEMO = 450_000
 #: New pieces that one call of the library takes together.
 TOGETHER = 256
 
