@@ -33,6 +33,16 @@ def test_pieces_are_encoded_as_the_library_does(path):
             assert np.frombuffer(raw, ours.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_letters_that_normalize_to_a_mark_before_punctuation(path):
+    plain, ours = Tokenizer.from_file(path), encoder.Encoder(encoder.load(path))
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    texts = ["BELEDİYESİ, bir", "xİ. y", "হয়, কিন্তু", "é. ü, ñ. x"] + [f"x{c}{m} y" for c in letters for m in ".,"]
+    want = [x.ids for x in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    got = [np.frombuffer(raw, ours.dtype).tolist() for raw in ours.encode(texts)]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_any_text(texts):

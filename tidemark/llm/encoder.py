@@ -27,7 +27,8 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 DOUBLE = re.compile(f"[{SPACE}] ")
 #: White space at the edge of a piece or of several joined by a space, or a separator anywhere.
 ODD = re.compile(f"^[{SPACE}]|[{SPACE}]$|[{SPACE}] | [{SPACE}]|[\x1c-\x1f]")
-MARK = re.compile(r"(?<=[^\W\d_])([.,])(?= )")
+#: Latin letters but U+0130: NFC and lower-casing leave each one letter; others may end in a combining mark, which joins the punctuation.
+MARK = re.compile("(?<=[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f])([.,])(?= )")
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Pieces that a worker keeps; beyond it, it starts anew.
 MEMO = 450_000
@@ -65,8 +66,8 @@ def splitter(spec: dict) -> Split | None:
 def by_punctuation(text: str) -> tuple[list[str], list[str]]:
     """Words, since white space is dropped; a comma or full stop that ends a word stands apart, so that words repeat more often.
 
-    Only a single mark between a letter and a space is set apart, which is a
-    token border of the pattern anyway.
+    Only a single mark between a letter that stays one and a space is set apart,
+    which is a token border of the pattern anyway.
     """
     return ([text], []) if SEPARATORS.search(text) else (MARK.sub(r" \1", text).split(), [])
 
