@@ -62,6 +62,29 @@ def test_full_alphabet_begins_another_automaton(docs, monkeypatch):
     assert sure[["first", "last"]].values.tolist() == [[5, 24]] * 3
 
 
+def test_a_run_with_more_words_than_letters_takes_several_automata(monkeypatch):
+    import pandas as pd
+
+    made = []
+
+    class Noted(phrases.Automaton):
+        def __init__(self):
+            super().__init__()
+            made.append(self)
+
+    monkeypatch.setattr(phrases, "LETTERS", 30)
+    monkeypatch.setattr(phrases, "Automaton", Noted)
+    said = [b"w%d" % i for i in range(200)]
+    runs = [(5, said), (0, said[40:53]), *((0, said[k : k + 20]) for k in range(0, 181, 9)), (0, said[:12] + [b"x"] + said[13:25])]
+    rows = [(phrases.OWNED, 1, 0, 1, 0, 0, b" ".join(said))]
+    rows += [(phrases.RUN, 2 + k, 0, 1, 0, start, b" ".join(some)) for k, (start, some) in enumerate(runs)]
+    frame = pd.DataFrame(rows, columns=["kind", "doc_id", "key", "owner", "salt", "start", "body"])
+    got = pd.concat(phrases._locate(iter([frame])))
+    sure = got[got["last"] >= 0]
+    assert sure[["doc_id", "first", "last"]].values.tolist() == [[2 + k, start, start + len(some) - 1] for k, (start, some) in enumerate(runs[:-1])]
+    assert len(made) > 1 and all(len(x.letters) <= 30 for x in made)
+
+
 def test_marks_of_equal_windows_are_equal():
     rng = random.Random(5)
     a, b, c = prose(rng, 30), prose(rng, 17), prose(rng, 25)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -125,13 +125,19 @@ class Automaton:
         self.built = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         self.ready = False
 
-    def add(self, said: list[bytes]) -> None:
-        for word in said:
+    def add(self, said: list[bytes], begin: int = 0) -> int:
+        """Windows from word ``begin`` on, as far as the letters reach; gives the start of the first one left."""
+        known: list[str] = []
+        for word in islice(said, begin, None):
             if word not in self.letters:
+                if len(self.letters) >= LETTERS:
+                    break
                 self.letters[word] = chr(len(self.letters) + 2)
-        text = "".join(map(self.letters.__getitem__, said))
+            known.append(self.letters[word])
+        text = "".join(known)
         for i in range(len(text) - WINDOW + 1):
             self.built.add_word(text[i : i + WINDOW], 1)
+        return begin + len(text) - WINDOW + 1
 
     def starts(self, said: list[bytes]) -> list[int]:
         """Where one of the windows begins."""
@@ -156,7 +162,10 @@ def _locate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if kind == OWNED:
                 if not compiled or len(compiled[-1].letters) + len(said) > LETTERS:
                     compiled.append(Automaton())
-                compiled[-1].add(said)
+                begin = compiled[-1].add(said)
+                while begin + WINDOW <= len(said):  # more different words than letters: the next has WINDOW - 1 words again
+                    compiled.append(Automaton())
+                    begin = compiled[-1].add(said, begin)
                 continue
             there = np.zeros(len(said) - WINDOW + 1, bool)
             for one in compiled:
