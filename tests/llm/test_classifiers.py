@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import prose
-from tidemark.llm import language, quality, queries, toxicity
+from tidemark.llm import language, quality, queries, samples, toxicity
 from tidemark.llm.features import Batch, class_of, grams, words
 
 TABLES = "/root/testdata/sf0.01"
@@ -131,6 +131,15 @@ def test_windows_cover_every_word():
     assert not (seen.owner == 1).any() and (seen.windows[seen.owner == 2] > 0).sum() == 1 and (seen.windows[seen.owner == 3] > 0).sum() == 1
 
 
+def test_a_passage_of_half_a_window_stands_whole_in_one():
+    text = toxicity.read([" ".join(f"w{k}" for k in range(150))])
+    order = list(dict.fromkeys(text.windows[text.windows > 0].tolist()))  # windows follow each other as the words do
+    assert len(order) == 150
+    seen = [set(w.tolist()) for w in text.windows]
+    half = toxicity.WINDOW // 2
+    assert all(any(set(order[k : k + half]) <= w for w in seen) for k in range(150 - half + 1))
+
+
 def test_gradients_by_differences():
     net = toxicity.Network(3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
@@ -167,3 +176,10 @@ def test_filter_keeps_columns(docs, labels):
     assert out.columns == df.columns
     left = {r.doc_id for r in out.collect()}
     assert {None, 901} <= left and 900 not in left and len(left & set(range(120))) <= 84
+
+
+def test_sample_has_one_row_for_each_id(docs, labels):
+    rows = [(1, "b"), (1, "a"), (1, None), *[(2, "same")] * 300, (3, "x" * 11), (4, "d")]
+    known = samples.labelled(labels([(k, k % 2, None) for k in (1, 2, 3, 4)]), "quality", 1, 1)
+    got = samples.draw(docs(rows), known, {0: 10, 1: 10}, 10).collect()
+    assert sorted((r.text, r.y) for r in got) == [("a", 1), ("d", 0), ("same", 0)]

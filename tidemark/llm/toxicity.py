@@ -26,8 +26,8 @@ from tidemark.session import materialize
 
 WORD_BITS, CHAR_BITS = 15, 15
 ORDERS = (3, 4, 5)
-#: Words of a window, and from one window to the next.
-WINDOW, STEP = 32, 24
+#: Words of a window, and from one window to the next: a passage of up to half a window stands whole in one.
+WINDOW, STEP = 32, 16
 WIDTH, HIDDEN = 8, 8
 #: Characters and windows in one numpy batch.
 BATCH, ROWS = 500_000, 4096
