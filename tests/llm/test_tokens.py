@@ -78,6 +78,21 @@ def test_file_gives_single_documents():
     assert [held.document(i).tobytes() for i in range(4)] == texts
 
 
+def test_rows_of_a_file_come_through_its_samples():
+    import pandas as pd
+
+    texts = [np.arange(k % 7, dtype="<u2").tobytes() for k in range(600)]
+    raw = token_files.TokenFile.to_bytes(0, 0, 0, list(range(600)), texts, np.dtype("<u2"))
+    good = pd.concat(token_files._reader(iter([pd.DataFrame({"content": [raw]})])))
+    assert good["n_tokens"].tolist() == [k % 7 for k in range(600)]
+    assert good["ids_crc32"].tolist() == [crc(range(k % 7)) for k in range(600)]
+    at = token_files.HEADER.size + 8 * 600 + 4  # the second sample, of documents 256 to 511
+    wrong = raw[:at] + (int.from_bytes(raw[at : at + 4], "little") + 40).to_bytes(4, "little") + raw[at + 4 :]
+    bad = pd.concat(token_files._reader(iter([pd.DataFrame({"content": [wrong]})])))
+    differ = (bad["start_in_part"] != good["start_in_part"]).to_numpy()
+    assert differ[256:512].all() and not differ[:256].any() and not differ[512:].any()
+
+
 SOME = [(4, "Some words, here."), (2, None), (9, ""), (7, "x " * 5000), (1, "<|endoftext|> a"), (3, "Some words, here."), (3, "other"), (None, "no id"), (4, "Some words, here.")]
 
 

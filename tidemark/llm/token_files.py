@@ -92,7 +92,10 @@ class Boundaries:
         return (place - i) << self.bits | window & ((1 << self.bits) - 1)
 
     def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n]
+        """Every value, each run of ``EVERY`` from its sampled one-bit on."""
+        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))
+        i = np.arange(self.n)
+        places = ones[np.searchsorted(ones, self.samples)[i // EVERY] + i % EVERY]
         return (places - np.arange(self.n)) << self.bits | unpack_low(self.low, self.n, self.bits)
 
 
@@ -198,6 +201,9 @@ def _reader(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for raw in frame["content"]:
             held = TokenFile.from_bytes(raw)
             starts = held.bounds.all()
+            for i in range(EVERY - 1, len(starts), EVERY):
+                if held.start(i) != starts[i]:
+                    raise ValueError("a document's boundary is not where its sample leads")
             ends = np.append(starts[1:], len(held.ids))
             wide = held.ids.astype("<u4")
             crc = [zlib.crc32(wide[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
