@@ -182,4 +182,4 @@ def test_sample_has_one_row_for_each_id(docs, labels):
     rows = [(1, "b"), (1, "a"), (1, None), *[(2, "same")] * 300, (3, "x" * 11), (4, "d")]
     known = samples.labelled(labels([(k, k % 2, None) for k in (1, 2, 3, 4)]), "quality", 1, 1)
     got = samples.draw(docs(rows), known, {0: 10, 1: 10}, 10).collect()
-    assert sorted((r.text, r.y) for r in got) == [("a", 1), ("d", 0), ("same", 0)]
+    assert sorted((r.text, r.y) for r in got) == [("b", 1), ("d", 0), ("same", 0)]

@@ -18,8 +18,10 @@ def draw(docs: DataFrame, known: DataFrame, per_class: dict[int, int], max_chars
     """``text, y, key`` of at most ``per_class[y]`` labelled documents of each class, in the order of a hash of the id.
 
     The ids come from all labels; only they and their number bound what is
-    read further, so the small side of the join is broadcast.  Texts above
-    ``max_chars`` are not learned from (they are scored like all others).
+    read further, so the small side of the join is broadcast.  Of several rows
+    under an id the largest text counts, so there is one row for each id.
+    Texts above ``max_chars`` are not learned from (they are scored like all
+    others).
     """
     key = F.xxhash64("doc_id")
     picked = [known.where(F.col("y") == y).withColumn("key", key).orderBy("key", "doc_id").limit(n) for y, n in per_class.items()]
@@ -27,7 +29,8 @@ def draw(docs: DataFrame, known: DataFrame, per_class: dict[int, int], max_chars
     for more in picked[1:]:
         ids = ids.unionByName(more)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= max_chars)
-    return texts.join(F.broadcast(ids), "doc_id").select("text", "y", "key")
+    joined = texts.join(F.broadcast(ids), "doc_id")
+    return joined.groupBy("doc_id", "y", "key").agg(F.max("text").alias("text")).select("text", "y", "key")
 
 
 def prior_shift(known: DataFrame, drawn: dict[int, int]) -> float:
