@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, phrases, quality, token_counts, token_files, toxicity
+from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, phrases, quality, sharding, spelling, token_counts, token_files, toxicity
 from tidemark.llm.texts import table
 from tidemark.session import shared_dir
 
@@ -55,6 +55,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), WORD_BPE, shared_dir(spark, "token-counts"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_ngram_jaccard_join,
         op10_token_counts,
+        op11_sharding,
+        op12_spelling_variants,
     )
 }
 SQL: dict[str, str] = {
@@ -75,4 +85,5 @@ SQL: dict[str, str] = {
     "op5_repeated_phrases": phrases.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
     "op9_ngram_jaccard_join": jaccard.SQL,
+    "op12_spelling_variants": spelling.SQL,
 }
