@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard, language, packing, phrases, quality, sharding, spelling, token_counts, token_files, toxicity
+from tidemark.llm import decontaminate, exact_dedup, jaccard, language, merkle, packing, phrases, quality, sharding, spelling, token_counts, token_files, toxicity
 from tidemark.llm.texts import table
 from tidemark.session import shared_dir
 
@@ -63,6 +63,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_token_counts,
         op11_sharding,
         op12_spelling_variants,
+        op13_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
@@ -86,4 +91,5 @@ SQL: dict[str, str] = {
     "op7_exact_dedup": exact_dedup.SQL,
     "op9_ngram_jaccard_join": jaccard.SQL,
     "op12_spelling_variants": spelling.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
