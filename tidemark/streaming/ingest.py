@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,8 +21,8 @@ def file_stream(
 ) -> DataFrame:
     """A stream of the files that appear under ``path``.
 
-    Without a schema it is inferred from the files that are there; use
-    :func:`evolving_schema` to infer once and to take in new columns later.
+    Without a schema it is inferred from the files that are there; a folder
+    whose columns or types change is for :class:`evolving.EvolvingTable`.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if max_files is not None:
@@ -35,44 +32,6 @@ def file_stream(
     return reader.schema(schema).load(path)
 
 
-def evolving_schema(spark: SparkSession, path: str, store: str, fmt: str = "json", **options) -> T.StructType:
-    """The schema of a landing folder, kept in ``store`` (best beside the checkpoint) from run to run.
-
-    Only files that came since the last run are looked into.  Their new columns
-    are added at the end; a known column keeps its type.
-    """
-    known, since = _stored_schema(spark, store)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    reader = spark.read.format(fmt).options(**options)
-    if since:  # files of the last second are looked at again, as the option has whole seconds
-        reader = reader.option("modifiedAfter", since)
-    newest = listed.load(path).agg(F.max("modificationTime").alias("t")).select(F.date_format(F.date_trunc("second", "t") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("t"))
-    newest = newest.first()["t"]
-    try:
-        found = reader.load(path).schema
-    except AnalysisException as error:
-        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
-            raise
-        found = T.StructType([])
-    names = {f.name.lower() for f in known}
-    merged = T.StructType([*known, *[f for f in found if f.name.lower() not in names]])
-    row = spark.createDataFrame([(merged.json(), newest)], "schema string, since string")
-    row.coalesce(1).write.mode("append").json(store)
-    return merged
-
-
-def _stored_schema(spark: SparkSession, store: str) -> tuple[T.StructType, str | None]:
-    """The widest schema stored so far, and the time up to which files were seen."""
-    try:
-        rows = spark.read.schema("schema string, since string").json(store).collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return T.StructType([]), None
-    schemas = [T.StructType.fromJson(json.loads(r.schema)) for r in rows]
-    return max(schemas, key=len, default=T.StructType([])), max((r.since for r in rows if r.since), default=None)
-
-
 def ingest(stream: DataFrame, table_path: str, checkpoint: str, partition_by: list[str] | None = None) -> StreamingQuery:
     """Append everything that arrived since the last run, then stop.
 

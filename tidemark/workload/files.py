@@ -12,7 +12,8 @@ from tidemark.session import materialize, shared_dir
 from tidemark.sinks import files as file_sinks
 from tidemark.sinks import tables as table_sinks
 from tidemark.sources import files, payload
-from tidemark.streaming.ingest import StreamTables, evolving_schema, file_stream, ingest
+from tidemark.streaming.evolving import RESCUED, EvolvingTable
+from tidemark.streaming.ingest import StreamTables, file_stream, ingest
 from tidemark.workload.registry import money, ntz, query, read
 
 NTZ_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -382,15 +383,24 @@ def stream_declared_table(spark, d):
 
 
 @query("""
-SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN props END AS props FROM events
+SELECT event_id, event_type, CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN props END AS props,
+       CASE WHEN ts < TIMESTAMP '2024-01-11' THEN CAST(user_id AS VARCHAR)
+            WHEN ts < TIMESTAMP '2024-01-21' THEN CAST(CAST(user_id AS DOUBLE) + 0.5 AS VARCHAR) ELSE event_type END AS v,
+       FALSE AS rescued
+FROM events
 """)
 def stream_schema_evolves(spark, d):
-    """The second drop of files has a column more; the schema is remembered from run to run."""
+    """Three drops of files: the second has a column more, and ``v`` goes from whole numbers to fractions to words."""
     root = shared_dir(spark, "events-evolving")
     events = read(spark, d, "events")
-    early, late = events.where(F.col("ts") < ntz("2024-01-16")), events.where(F.col("ts") >= ntz("2024-01-16"))
-    for part in (early.select("event_id", "event_type"), late.select("event_id", "event_type", "props")):
-        file_sinks.write_json(part, f"{root}/landing", mode="append")
-        schema = evolving_schema(spark, f"{root}/landing", f"{root}/schema")
-        ingest(file_stream(spark, f"{root}/landing", schema), f"{root}/table", f"{root}/checkpoint")
-    return spark.read.schema("event_id bigint, event_type string, props string").parquet(f"{root}/table")
+    early, late = F.col("ts") < ntz("2024-01-11"), F.col("ts") >= ntz("2024-01-21")
+    drops = (
+        events.where(early).select("event_id", "event_type", F.col("user_id").alias("v")),
+        events.where(~early & ~late).select("event_id", "event_type", "props", (F.col("user_id").cast("double") + 0.5).alias("v")),
+        events.where(late).select("event_id", "event_type", "props", F.col("event_type").alias("v")),
+    )
+    table = EvolvingTable(spark, f"{root}/landing", f"{root}/table")
+    for drop in drops:
+        file_sinks.write_json(drop, f"{root}/landing", mode="append")
+        table.update()
+    return table.read().withColumn("rescued", F.col(RESCUED).isNotNull()).drop(RESCUED)
