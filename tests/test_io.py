@@ -77,7 +77,6 @@ def test_consolidation_reads_each_file_once(spark, path):
     assert rows(first.rows.select("BU", "v")) == [("A", 1)]
     log = spark.createDataFrame(first.log.collect(), first.log.schema)
     assert files.last_modified_ms(log.limit(0)) == 0
-    time.sleep(0.05)
     spark.createDataFrame([(2,)], "v int").write.parquet(f"{path}/B/t")
     second = raw.consolidate(spark, path, "t", log)
     assert rows(second.rows.select("BU", "v")) == [("B", 2)]

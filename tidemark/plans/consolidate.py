@@ -6,33 +6,45 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.upsert import replace_by_keys
-from tidemark.sources.files import file_log, last_modified_ms, scan_bu_tree
+from tidemark.sources.files import folder_below
+from tidemark.sources.manifest import list_files, load_files, unseen
 
 
 class Consolidation(NamedTuple):
-    rows: DataFrame
+    """``rows`` with their BU (None if no file was new or readable), and the log rows to append."""
+
+    rows: DataFrame | None
     log: DataFrame
 
 
-def consolidate(spark: SparkSession, path: str, table: str, log: DataFrame | None = None, since_ms: int | None = None) -> Consolidation:
+def consolidate(spark: SparkSession, path: str, table: str, log: DataFrame | None = None, schema: T.StructType | str | None = None) -> Consolidation:
     """All BUs' new files of one table as one frame, and the log rows to append.
 
-    Files count as new when modified after the highest time in the log.  The
-    frame and the log come from the same listing rule, so a file enters the
-    log exactly when its rows are read.
+    A file is new if the log does not have its path, time and length as
+    passed, so files that arrive late or failed before are taken.  A file that
+    cannot be read is logged with its error and the others load.  The rows are
+    written to the shared folder; a file is logged as passed exactly when its
+    rows are there.
     """
-    if since_ms is None:
-        since_ms = 0 if log is None else last_modified_ms(log)
-    rows = scan_bu_tree(spark, path, table, since_ms)
-    return Consolidation(rows.drop("file_path", "modified_ms"), file_log(rows))
+
+    def read(paths: list[str]) -> DataFrame:
+        reader = spark.read.option("mergeSchema", schema is None)
+        return (reader if schema is None else reader.schema(schema)).parquet(*paths)
+
+    loaded = load_files(spark, unseen(list_files(spark, f"{path}/*/{table}", "*.parquet"), log), read)
+    if loaded.rows is None:
+        return Consolidation(None, loaded.log)
+    rows = loaded.rows.withColumn("BU", folder_below(F.col("file_path"), path))
+    return Consolidation(rows.drop("file_path", "modified_ms"), loaded.log)
 
 
-def load_table(target: DataFrame | None, batch: DataFrame, table: str, bu: str = "BU") -> DataFrame:
-    """Next snapshot: history staging tables replace the batch's BUs, others append."""
-    if target is None:
-        return batch
+def load_table(target: DataFrame | None, batch: DataFrame | None, table: str, bu: str = "BU") -> DataFrame | None:
+    """Next snapshot: history staging tables replace the batch's BUs, others append; no batch changes nothing."""
+    if target is None or batch is None:
+        return batch if target is None else target
     if table.endswith("_stg_h"):
         return replace_by_keys(target, batch, [bu])
     return target.unionByName(batch, allowMissingColumns=True)

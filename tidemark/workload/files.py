@@ -11,7 +11,7 @@ from tidemark.plans import consolidate as raw_zone
 from tidemark.session import materialize, shared_dir
 from tidemark.sinks import files as file_sinks
 from tidemark.sinks import tables as table_sinks
-from tidemark.sources import files, payload
+from tidemark.sources import files, manifest, payload
 from tidemark.streaming.evolving import RESCUED, EvolvingTable
 from tidemark.streaming.ingest import StreamTables, file_stream, ingest
 from tidemark.workload.registry import money, ntz, query, read
@@ -101,32 +101,70 @@ SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || ' v2' ELSE
 FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_custkey % 2 = 0
 """)
 def bu_consolidate(spark, d):
-    """Two loads: the second brings half of one BU again, whose history is replaced; older files are not read twice."""
+    """Two loads: the second brings half of one BU again, whose history is replaced; older files are not read twice.
+
+    The files of the second come late, with a time before all that the log
+    has, and an unreadable file lies among those of the first.
+    """
     root = _bu_tree(spark, d, "raw-consolidate")
+    _broken_file(spark, root, "AUTOMOBILE")
     first = raw_zone.consolidate(spark, root, "tbl=customer")
     table, log = materialize(raw_zone.load_table(None, first.rows, "customer_stg_h"), "staged"), materialize(first.log, "file-log")
     again = _customers(spark, d).where("c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0")
     _drop_files(again.withColumn("c_name", F.concat("c_name", F.lit(" v2"))), root)
+    for file in manifest.unseen(manifest.list_files(spark, root, "*.parquet"), log, retry_failed=False).collect():
+        place = _place(spark, file.PATH)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(place, 1_000_000, -1)
     second = raw_zone.consolidate(spark, root, "tbl=customer", log)
     return raw_zone.load_table(table, second.rows, "customer_stg_h")
 
 
+def _place(spark, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _broken_file(spark, root: str, bu: str) -> None:
+    """A Parquet file of one BU that ends in its middle."""
+    place = _place(spark, f"{root}/bu={bu}/tbl=customer/year=2024/month=0/broken.parquet")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    out.write(bytearray(b"PAR1" + bytes(200)))
+    out.close()
+
+
 @query("""
-SELECT DISTINCT c_mktsegment AS "BU", CASE WHEN c_mktsegment = 'BUILDING' THEN 'cannot read' ELSE 'PASSED' END AS "MESSAGE",
-       TRUE AS timed, TRUE AS named, CAST(count(DISTINCT c_custkey % 3) AS BIGINT) AS files
+SELECT c_mktsegment AS "BU", 'PASSED' AS "MESSAGE", TRUE AS timed, TRUE AS named, CAST(count(DISTINCT c_custkey % 3) AS BIGINT) AS files
 FROM customer GROUP BY c_mktsegment
+UNION ALL
+SELECT DISTINCT 'BUILDING', 'FAILED', TRUE, TRUE, CAST(1 AS BIGINT) FROM customer
 """)
 def file_log(spark, d):
-    """Outcome per file, a failed BU included."""
+    """Outcome per file: one file of one BU cannot be read, all others load."""
     root = _bu_tree(spark, d, "raw-log")
+    _broken_file(spark, root, "BUILDING")
     log = raw_zone.consolidate(spark, root, "tbl=customer").log.withColumn("BU", files.folder_below(F.col("PATH"), root))
-    failed = F.col("BU") == "BUILDING"
-    log = log.where(~failed).unionByName(raw_zone.failure_log(log.where(failed), "cannot read"))
     named = F.col("ID").rlike("^[A-Za-z0-9_]+$") & F.col("ID").endswith("parquet") & F.col("PATH").contains("month=")
-    rows = log.select("BU", "MESSAGE", "PATH", (F.col("MODIFICATIONTIME") > 0).alias("timed"), named.alias("named"))
+    timed = (F.col("MODIFICATIONTIME") > 0) & (F.col("LENGTH") > 0)
+    ended = F.when(F.col("MESSAGE").rlike("^FAILED: .*broken"), "FAILED").otherwise(F.col("MESSAGE"))
+    rows = log.select("BU", ended.alias("MESSAGE"), "PATH", timed.alias("timed"), named.alias("named"))
     return rows.groupBy("BU", "MESSAGE", "timed", "named").agg(F.count_distinct("PATH").alias("files"))
 
 
+@query("SELECT event_id, ts, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-16'")
+def scan_unseen_files(spark, d):
+    """Files that a log of (path, time, length) lacks; they come late, older than the last file of the log."""
+    events = read(spark, d, "events").select("event_id", "ts", "event_type")
+    path = shared_dir(spark, "events-late")
+    table_sinks.append_rows(events.where(F.col("ts") < ntz("2024-01-16")), path)
+    log = manifest.load_files(spark, manifest.list_files(spark, path, "*.parquet"), lambda paths: spark.read.parquet(*paths)).log
+    table_sinks.append_rows(events.where(F.col("ts") >= ntz("2024-01-16")), path)
+    late = manifest.unseen(manifest.list_files(spark, path, "*.parquet"), log)
+    for file in late.collect():
+        place = _place(spark, file.PATH)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(place, 1_000_000, -1)
+    late = manifest.unseen(manifest.list_files(spark, path, "*.parquet"), log)
+    return manifest.load_files(spark, late, lambda paths: spark.read.parquet(*paths)).rows.select("event_id", "ts", "event_type")
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def scan_csv(spark, d):
     path = shared_dir(spark, "customer-csv")
