@@ -159,3 +159,60 @@ def test_stored_load_leaves_closed_history_alone(spark, tmp_path):
     key = [SPEC.surrogate, "id", "v", SPEC.start, SPEC.end, SPEC.current]
     assert rows(dim.select(*key)) == rows(plain.select(*key))
     assert dim.select(SPEC.surrogate).distinct().count() == dim.count()
+
+
+def stored(spark, path):
+    from tidemark.plans.medallion import DimensionStore
+
+    return DimensionStore(spark, str(path), SPEC)
+
+
+KEY = [SPEC.surrogate, "id", "v", SPEC.start, SPEC.end, SPEC.current]
+STEPS = [{1: "a", 2: "b", None: "n"}, {1: "c", 2: "d"}, {1: "a", 3: "d", None: "m"}]
+
+
+def on(spark, i):
+    return batch(spark, STEPS[i], DAY + timedelta(days=31 * i))
+
+
+@pytest.mark.parametrize("died_in", ["closed", "current", "publish"])
+def test_a_load_that_died_leaves_no_trace(spark, tmp_path, monkeypatch, died_in):
+    """The next load has another batch under the same number."""
+    store = stored(spark, tmp_path)
+    store.load(on(spark, 0))
+    other = batch(spark, {1: "dead", 2: "dead", 9: "dead", None: "dead"}, DAY + timedelta(days=20))
+    number, folder = store.stage(other)
+    if died_in != "publish":
+        import shutil
+
+        shutil.rmtree(tmp_path / "current" / folder)
+    if died_in == "closed":
+        next((tmp_path / "closed" / folder).glob("*.parquet")).unlink()
+    for i in (1, 2):
+        store.load(on(spark, i))
+    assert rows(store.read().select(*KEY)) == rows(load(spark, STEPS).select(*KEY))
+    assert store.current.published()[number] != folder
+
+
+def test_reading_a_stored_dimension_shuffles_nothing(spark, tmp_path):
+    store = stored(spark, tmp_path)
+    assert store.read() is None and store.closed() is None
+    for i in range(3):
+        store.load(on(spark, i))
+    text = plan(store.read())
+    assert "Exchange" not in text and "Aggregate" not in text
+
+
+def test_earlier_loads_and_compaction(spark, tmp_path):
+    store = stored(spark, tmp_path)
+    store.compact()
+    for i in range(3):
+        store.load(on(spark, i))
+        if i == 1:
+            store.compact()
+            store.compact()
+    for i in range(3):
+        assert rows(store.read(i + 1).select(*KEY)) == rows(load(spark, STEPS[: i + 1]).select(*KEY))
+    store.compact()
+    assert rows(store.read().select(*KEY)) == rows(load(spark, STEPS).select(*KEY))
+    assert rows(store.closed().select("id")) == rows(store.read().where(f"{SPEC.current} = 'N'").select("id"))

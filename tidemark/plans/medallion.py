@@ -136,33 +136,73 @@ def _dimension_batch(silver: DataFrame, spec: Scd2Spec, change_column: str, sinc
     return upsert.dedupe_batch(keyed, ["_hash"], [F.col(spec.start).desc()]).drop("_hash")
 
 
+class DimensionStore:
+    """A dimension under ``path``: current rows as snapshots, closed versions in a folder for each load.
+
+    A load reads and rewrites current rows only; the versions it closes go to
+    ``closed`` under the very folder name that its snapshot has.  One marker
+    makes both visible at once, so what a load that died has left is never
+    read, whatever load comes after it and however often the number is tried
+    again.  A key's newest surrogate is that of its current row, so the next
+    ones follow from the current rows alone.  One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, spec: Scd2Spec):
+        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.current = SnapshotTable(spark, f"{self.path}/current")
+        self._compacted = SnapshotTable(spark, f"{self.path}/compacted")
+
+    def stage(self, batch: DataFrame) -> tuple[int, str]:
+        """Write the dimension after ``batch`` (one row per hash key); nobody sees it before ``publish``."""
+        number, folder = self.current.next_folder()
+        after = materialize(scd2.apply(self.current.read(), batch, self.spec), "dimension-load")
+        is_closed = F.col(scd2.ACTION) == "closed"
+        after.where(is_closed).drop(scd2.ACTION).write.parquet(f"{self.path}/closed/{folder}")
+        after.where(~is_closed).drop(scd2.ACTION).write.parquet(f"{self.path}/current/{folder}")
+        return number, folder
+
+    def publish(self, number: int, folder: str) -> None:
+        self.current.publish(number, folder)
+
+    def load(self, batch: DataFrame) -> int:
+        number, folder = self.stage(batch)
+        self.publish(number, folder)
+        return number
+
+    def closed(self, version: int | None = None) -> DataFrame | None:
+        """Versions closed by the loads up to ``version``: a plain scan of their folders."""
+        loads = self.current.published()
+        if not loads:
+            return None
+        version = max(loads) if version is None else version
+        base = max((n for n in self._compacted.published() if n <= version), default=0)
+        folders = [f"{self.path}/closed/{f}" for n, f in sorted(loads.items()) if base < n <= version]
+        if base:
+            folders.append(f"{self.path}/compacted/{self._compacted.published()[base]}")
+        return self.spark.read.schema(self.current.read(version).schema).parquet(*folders)
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """Current and closed versions, as of the newest or the given load; None before the first."""
+        current = self.current.read(version)
+        return None if current is None else current.unionByName(self.closed(version))
+
+    def compact(self) -> None:
+        """Bring the folders of all loads so far together in one, for readers of many loads."""
+        number = self.current.version()
+        if number is None or number in self._compacted.published():
+            return
+        folder = self.current.next_folder()[1]
+        self.closed(number).write.parquet(f"{self.path}/compacted/{folder}")
+        self._compacted.publish(number, folder)
+
+
 def load_dimension(
     spark: SparkSession, silver: DataFrame, path: str, spec: Scd2Spec, change_column: str, since: Column
 ) -> DataFrame:
-    """Load into a dimension stored under ``path``: current rows as snapshots, closed versions appended.
-
-    Only current rows are read and rewritten; the versions that this load
-    closes are added to ``closed``, whose files are never read or touched.  A
-    key's newest surrogate is that of its current row, so the next ones follow
-    from the current rows alone.  Closed versions become visible before the
-    snapshot does and carry its number, so those of a load that died are not
-    counted.
-    """
-    table = SnapshotTable(spark, f"{path}/current")
-    version = (table.version() or 0) + 1
-    batch = _dimension_batch(silver, spec, change_column, since)
-    after = materialize(scd2.apply(table.read(), batch, spec), "dimension-load")
-    closed = after.where(F.col(scd2.ACTION) == "closed").drop(scd2.ACTION)
-    closed.withColumn("_load", F.lit(version)).write.mode("append").parquet(f"{path}/closed")
-    table.overwrite(after.where(F.col(scd2.ACTION) != "closed").drop(scd2.ACTION))
-    return read_dimension(spark, path)
-
-
-def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """Current and closed versions of a stored dimension."""
-    table = SnapshotTable(spark, f"{path}/current")
-    closed = spark.read.parquet(f"{path}/closed").where(F.col("_load") <= table.version()).drop("_load").distinct()
-    return table.read().unionByName(closed)
+    """Silver rows changed since the window start, loaded into the stored dimension, which is returned."""
+    store = DimensionStore(spark, path, spec)
+    store.load(_dimension_batch(silver, spec, change_column, since))
+    return store.read()
 
 
 def gold_fact(

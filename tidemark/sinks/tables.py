@@ -36,22 +36,31 @@ class SnapshotTable:
     def _fs(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _numbers(self, folder: str) -> list[int]:
-        fs, path = self._fs(), self._path(folder)
+    def published(self) -> dict[int, str]:
+        """The data folder of each version that readers can see."""
+        fs, path = self._fs(), self._path("_versions")
         if not fs.exists(path):
-            return []
-        return [int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(path)]
+            return {}
+        names = [s.getPath().getName().partition(".") for s in fs.listStatus(path)]
+        return {int(number): folder for number, _, folder in names}
 
     def version(self) -> int | None:
-        return max(self._numbers("_versions"), default=None)
+        return max(self.published(), default=None)
+
+    def next_folder(self) -> tuple[int, str]:
+        """Number of the next version, and a folder name that no other attempt at it has."""
+        number = (self.version() or 0) + 1
+        return number, f"v{number}-{uuid.uuid4().hex}"
+
+    def publish(self, number: int, folder: str) -> None:
+        """Make a written folder the given version, in one step."""
+        self._fs().create(self._path("_versions", f"{number}.{folder}"), False).close()
 
     def _data_path(self, version: int) -> str:
-        fs, markers = self._fs(), self._path("_versions")
-        for status in fs.listStatus(markers):
-            number, _, folder = status.getPath().getName().partition(".")
-            if int(number) == version:
-                return f"{self.path}/{folder}"
-        raise ValueError(f"no version {version} under {self.path}")
+        folders = self.published()
+        if version not in folders:
+            raise ValueError(f"no version {version} under {self.path}")
+        return f"{self.path}/{folders[version]}"
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The given or newest version; None when nothing was written yet."""
@@ -67,11 +76,10 @@ class SnapshotTable:
         base = self.version()
         if merge_schema and base is not None:
             df = union_all_by_name([self.read(base).limit(0), df])
-        number = (base or 0) + 1
-        folder = f"v{number}-{uuid.uuid4().hex}"
+        number, folder = self.next_folder()
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/{folder}")
-        self._fs().create(self._path("_versions", f"{number}.{folder}"), False).close()
+        self.publish(number, folder)
         return number
 
 

@@ -82,7 +82,7 @@ def _places(spark, d, day: str):
     )
 
 
-@query(f"""
+_PLACE_DIM_SQL = f"""
 WITH v1 AS ({_PLACE_SQL} WHERE c_custkey % 2 = 0 GROUP BY ALL), v2 AS ({_PLACE_SQL} GROUP BY ALL),
 d1 AS (SELECT 1000 + row_number() OVER (ORDER BY nation NULLS FIRST, segment NULLS FIRST) AS sk, * FROM v1),
 both_ AS (
@@ -97,7 +97,10 @@ UNION ALL
 SELECT (SELECT max(sk) FROM d1) + row_number() OVER (ORDER BY nation NULLS FIRST, segment NULLS FIRST), nation, segment, newest,
        CASE WHEN old IS NULL THEN DATE '1900-01-01' ELSE DATE '2024-02-01' END, NULL, 'Y'
 FROM fresh
-""")
+"""
+
+
+@query(_PLACE_DIM_SQL)
 def gold_dim_null_keys(spark, d):
     """Two loads of a dimension, stored apart, whose key is partly or wholly null: one row per key and version."""
     path = shared_dir(spark, "place-dim")
@@ -107,6 +110,20 @@ def gold_dim_null_keys(spark, d):
     return dim.select("sk", "nation", "segment", "newest", _PLACES.start, _PLACES.end, _PLACES.current)
 
 
+@query(_PLACE_DIM_SQL)
+def gold_dim_after_crash(spark, d):
+    """As above, but between the loads one with other rows dies after it wrote everything and before it was published."""
+    store = medallion.DimensionStore(spark, shared_dir(spark, "place-dim-crash"), _PLACES)
+
+    def one_each(places):
+        return upsert.dedupe_batch(places.withColumn("key", hash_key_of(places, _PLACES.keys)), ["key"], [F.col("newest").desc()]).drop("key")
+
+    store.load(one_each(_places(spark, d, "2024-01-01").where("newest % 2 = 0")))
+    store.stage(one_each(_places(spark, d, "2024-01-15").withColumn("newest", F.col("newest") + 1000)))
+    store.load(one_each(_places(spark, d, "2024-02-01")))
+    return store.read().select("sk", "nation", "segment", "newest", _PLACES.start, _PLACES.end, _PLACES.current)
+
+
 @query("""
 WITH c AS (
   SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS seg,
