@@ -45,6 +45,7 @@ def merge(
     stamp: dict[str, Column] | None = None,
     insert: bool = True,
     batch_fits: bool | None = None,
+    spread_nulls: bool = True,
 ) -> DataFrame:
     """Next snapshot of ``target`` after merging ``source`` (one row per key).
 
@@ -57,7 +58,9 @@ def merge(
 
     When the batch passes the size check it is broadcast, and the target is
     neither shuffled nor sorted; otherwise both sides are shuffled once for a
-    full outer join.  Null keys never match and are spread by row content.
+    full outer join.  Null keys never match and are spread by row content;
+    without them ``spread_nulls=False`` joins on the keys alone, as a target
+    that lies in buckets of the keys needs.
     """
     keys = list(keys)
     stamp = stamp or {}
@@ -81,6 +84,8 @@ def merge(
     right = source.select(*keys, F.struct(*keys, *payload).alias("_s"))
     if batch_fits:
         joined = target.withColumn("_t", F.lit(True)).join(F.broadcast(right), keys, "left")
+    elif not spread_nulls:
+        joined = target.withColumn("_t", F.lit(True)).join(right, keys, "full" if insert else "left")
     else:
         left = target.withColumn("_t", F.lit(True)).withColumn("_spread", _null_salt(target, keys))
         right = source.select(*keys, _null_salt(source, keys).alias("_spread"), F.struct(*keys, *payload).alias("_s"))

@@ -10,6 +10,7 @@ from tidemark.functions.hashing import row_checksum as checksum_of
 from tidemark.operators import latest, upsert
 from tidemark.operators.upsert import ACTION
 from tidemark.session import materialize, shared_dir
+from tidemark.sinks.buckets import BucketedTable
 from tidemark.sinks.files import write_parquet
 from tidemark.sinks.tables import load_staged, merge_partitions
 from tidemark.workload.changes import (
@@ -29,6 +30,15 @@ def upsert_columns(spark, d):
     )
 
 
+@query(f"SELECT * EXCLUDE (_action) FROM ({merge_sql(ORDERS_SQL, KEY, REST, distinct_sql(REST), stamps={'last_modified': f'TIMESTAMP {chr(39)}{RUN_TS}{chr(39)}'})})")
+def upsert_bucketed(spark, d):
+    """The same merge into a table in hash buckets of the key, of which only the touched ones are rewritten."""
+    table = BucketedTable(spark, shared_dir(spark, "orders-bucketed"), KEY, buckets=32)
+    table.upsert(target_orders(spark, d).withColumn("last_modified", F.lit(None).cast("timestamp_ntz")))
+    table.upsert(batch_one(spark, d), stamp={"last_modified": ntz(RUN_TS)})
+    return table.read()
+
+
 _NULLED_SQL = ORDERS_SQL + """,
 t1 AS (SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM t0)
 """
