@@ -21,7 +21,7 @@ con = test_oracle.con
         "upsert_columns", "upsert_fact", "update_matched", "scd2_apply", "scd2_apply_compat", "scd2_rebuild",
         "surrogate_key", "lead_next", "latest_flag", "latest_flag_end_ts", "latest_flag_successor_end",
         "table_delete", "join_generated", "join_changed", "code_table_encode", "pending_tables",
-        "upsert_partitioned_nulls", "replace_by_bu_nulls_frames", "gold_dim_null_keys", "code_table_encode_nulls", "ml_roc_points",
+        "upsert_partitioned_nulls", "replace_by_bu_nulls_frames", "gold_dim_null_keys", "code_table_encode_nulls", "ml_roc_points", "ml_area_under_roc",
     ],
 )
 def test_matches_sql_without_broadcast(spark, tables, con, monkeypatch, name):

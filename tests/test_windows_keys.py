@@ -64,6 +64,41 @@ def test_buckets_rise_with_order_over_two_levels(spark, monkeypatch):
     assert [r["b"] for r in bucketed.orderBy("d").collect()] == expected
 
 
+def test_a_hundred_thousand_ranges(spark, monkeypatch):
+    """Ten rows a range: the driver holds the coarse points only, and no range is much fuller than the others."""
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", 10)
+    df = spark.range(0, 1_000_000, 1, 8).select((F.col("id") * 7919 % 1_000_003).alias("k"))
+    got = keys.number_rows(df, ["k"], "n")
+    found = got.agg(F.count(F.lit(1)), F.min("n"), F.max("n"), F.count_distinct("n")).first()
+    assert tuple(found) == (1_000_000, 1, 1_000_000, 1_000_000)
+    ordered = got.repartitionByRange(8, "n").sortWithinPartitions("n").withColumn("p", F.spark_partition_id())
+    w = Window.partitionBy("p").orderBy("n")
+    assert ordered.withColumn("before", F.lag("k").over(w)).where("before >= k").isEmpty()
+    sizes = ranges.ranged(df, ["k"]).groupBy(ranges.RANGE).count()
+    n, largest = sizes.agg(F.count(F.lit(1)), F.max("count")).first()
+    assert n > 80_000 and largest < 200
+
+
+def test_ranges_take_nulls_ties_and_several_columns(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", 7)
+    data = [(None if i % 9 == 0 else i % 5, None if i % 4 == 0 else f"s{i % 50:02d}", i) for i in range(600)]
+    df = spark.createDataFrame(data, "a int, b string, c int")
+    expected = df.withColumn("n", F.row_number().over(Window.orderBy("a", "b", "c")).cast("bigint"))
+    assert rows(keys.number_rows(df, ["a", "b", "c"], "n")) == rows(expected)
+    cut = ranges.ranged(df, ["a"])  # no key is unique: equal keys share a range
+    assert cut.groupBy("a").agg(F.count_distinct(ranges.RANGE).alias("r")).where("r > 1").isEmpty()
+
+
+def test_the_source_is_read_once_after_the_count(spark, monkeypatch, tmp_path):
+    """Rows that come into the source while it is numbered change nothing."""
+    monkeypatch.setattr(ranges, "ROWS_PER_BUCKET", 10)
+    path = str(tmp_path / "growing")
+    spark.range(100).write.parquet(path)
+    got = keys.number_rows(spark.read.parquet(path), ["id"], "n")
+    spark.range(1000, 1100).write.mode("append").parquet(path)
+    assert [tuple(r) for r in got.orderBy("n").collect()] == [(i, i + 1) for i in range(100)]
+
+
 def test_small_frame_needs_no_points(spark):
     assert ranges.split_points(spark.range(10), ["id"]) == []
     assert ranges.split_points(spark.range(0), ["id"]) == []

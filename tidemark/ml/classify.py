@@ -11,7 +11,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ranges import bucket_of, split_points
+from tidemark.functions.ranges import RANGE, ranged, running
+from tidemark.functions.sizing import fits_broadcast
 from tidemark.operators.joins import lookup_join
 from tidemark.operators.keys import number_rows
 from tidemark.session import materialize
@@ -136,6 +137,10 @@ def coefficients(model, features: list[str], df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([*weights, ("(intercept)", float(model.intercept))], "feature string, weight double")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if fits_broadcast(rows) else rows
+
+
 def roc(scored: DataFrame, label: str = "label", score_column: str = "probability_1") -> DataFrame:
     """The ROC curve as rows, ``FPR, TPR``: a point for each distinct score and the origin.
 
@@ -147,14 +152,11 @@ def roc(scored: DataFrame, label: str = "label", score_column: str = "probabilit
     scored = scored.select((-F.col(score_column)).alias("_s"), (F.col(label) == 1).alias("_y"))
     counted = scored.groupBy("_s").agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n"))
     counted = materialize(counted, "roc-scores")
-    ranged = counted.withColumn("_range", bucket_of(counted, ["_s"], split_points(counted, ["_s"])))
-    totals = ranged.groupBy("_range").agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(
-        "_range", F.coalesce(F.sum("_tp").over(earlier), F.lit(0)).alias("_bp"), F.coalesce(F.sum("_tn").over(earlier), F.lit(0)).alias("_bn")
-    )
-    within = Window.partitionBy("_range").orderBy("_s")
-    summed = ranged.withColumn("_p", F.sum("_p").over(within)).withColumn("_n", F.sum("_n").over(within)).join(F.broadcast(before), "_range")
+    cut = ranged(counted, ["_s"], written=True)
+    cut = counted.withColumn(RANGE, F.lit(0).cast("long")) if cut is None else cut
+    before = running(cut.groupBy(RANGE).agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn")), {"_tp": "_bp", "_tn": "_bn"})
+    within = Window.partitionBy(RANGE).orderBy("_s")
+    summed = cut.withColumn("_p", F.sum("_p").over(within)).withColumn("_n", F.sum("_n").over(within)).join(_small(before), RANGE)
     whole = counted.agg(F.sum("_p").alias("_all_p"), F.sum("_n").alias("_all_n"))
     points = summed.crossJoin(F.broadcast(whole)).select(
         ((F.col("_n") + F.col("_bn")) / F.col("_all_n")).alias("FPR"), ((F.col("_p") + F.col("_bp")) / F.col("_all_p")).alias("TPR")
@@ -167,12 +169,11 @@ def area_under_roc(scored: DataFrame, label: str = "label", score_column: str =
     """One row, ``area``: the share of (positive, negative) pairs that are in order, ties counted half."""
     counted = scored.groupBy(score_column).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_n"))
     counted = materialize(counted.select(F.col(score_column).alias("_s"), "_p", "_n"), "roc-scores")
-    ranged = counted.withColumn("_range", bucket_of(counted, ["_s"], split_points(counted, ["_s"])))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    before = ranged.groupBy("_range").agg(F.sum("_n").alias("_t")).select("_range", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"))
-    within = Window.partitionBy("_range").orderBy("_s")
-    below = (F.sum("_n").over(within) + F.col("_b") - F.col("_n")).alias("_below")
-    joined = ranged.join(F.broadcast(before), "_range").select("_p", "_n", below)
+    cut = ranged(counted, ["_s"], written=True)
+    cut = counted.withColumn(RANGE, F.lit(0).cast("long")) if cut is None else cut
+    before = running(cut.groupBy(RANGE).agg(F.sum("_n").alias("_t")), {"_t": "_b"})
+    below = (F.sum("_n").over(Window.partitionBy(RANGE).orderBy("_s")) + F.col("_b") - F.col("_n")).alias("_below")
+    joined = cut.join(_small(before), RANGE).select("_p", "_n", below)
     twice = F.sum(F.col("_p") * (2 * F.col("_below") + F.col("_n")))
     return joined.agg((twice / (2 * F.sum("_p") * F.sum("_n"))).alias("area"))
 

@@ -2,44 +2,32 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ranges import bucket_of, split_points
+from tidemark.functions.ranges import RANGE, ranged, running
+from tidemark.functions.sizing import fits_broadcast
 
 FIRST_SURROGATE = 1000
 
 
-def number_rows(
-    df: DataFrame,
-    order_by: list[str],
-    alias: str,
-    after: Column | int = 0,
-    points_from: DataFrame | None = None,
-) -> DataFrame:
+def number_rows(df: DataFrame, order_by: list[str], alias: str, after: Column | int = 0, written: bool = False) -> DataFrame:
     """Add ``alias`` = ``after`` + 1, + 2, ... in ``order_by`` order.
 
     Equal to ``row_number() over (order by ...)``, but the rows are cut into
-    ordered buckets that are numbered in parallel and shifted by the sizes of
-    the buckets before them.  ``order_by`` must be unique per row.  Small jobs
-    run here: a count and, for more rows than one task should hold, a sample
-    for the split points (both on ``points_from`` when given) and one count
-    per bucket.
+    ordered ranges (``ranges.ranged``) that are numbered in parallel and
+    shifted by the sizes of the ranges before them.  ``order_by`` must be
+    unique per row.  Rows that fit one task are counted only; more are written
+    once and read from there, unless the caller has (``written``).
     """
-    source = points_from if points_from is not None else df
-    points = split_points(source, order_by)
-    bucketed = df.withColumn("_bucket", bucket_of(df, order_by, points))
-    counts = {}
-    if points:
-        counts = {r["_bucket"]: r["count"] for r in bucketed.groupBy("_bucket").count().collect()}
-    sizes = [counts.get(b, 0) for b in range(len(points) + 1)]
-    starts = [0, *accumulate(sizes[:-1])]
-    start = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in starts]), F.col("_bucket") + 1)
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order_by))
-    base = after if isinstance(after, Column) else F.lit(after)
-    return bucketed.withColumn(alias, rank + start + base.cast("bigint")).drop("_bucket")
+    base = (after if isinstance(after, Column) else F.lit(after)).cast("bigint")
+    rows = ranged(df, order_by, written)
+    if rows is None:
+        return df.withColumn(alias, F.row_number().over(Window.orderBy(*order_by)) + base)
+    starts = running(rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n")), {"_n": "_start"})
+    ranked = rows.withColumn(alias, F.row_number().over(Window.partitionBy(RANGE).orderBy(*order_by)))
+    placed = ranked.join(F.broadcast(starts) if fits_broadcast(starts) else starts, RANGE)
+    return placed.withColumn(alias, F.col(alias) + F.col("_start") + base).select(*df.columns, alias)
 
 
 def max_key(df: DataFrame | None, column: str, default: int = FIRST_SURROGATE) -> Column:

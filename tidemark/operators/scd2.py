@@ -147,7 +147,7 @@ def _open_versions(fresh: DataFrame, dim: DataFrame | None, spec: Scd2Spec) -> D
         }
     )
     base = max_key(dim, spec.surrogate, FIRST_SURROGATE)
-    return number_rows(opened, list(spec.keys), spec.surrogate, base)
+    return number_rows(opened, list(spec.keys), spec.surrogate, base, written=True)  # both callers have written ``fresh``
 
 
 def rebuild(versions: DataFrame, spec: Scd2Spec, sample_from: DataFrame | None = None) -> DataFrame:
