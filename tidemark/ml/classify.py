@@ -110,19 +110,39 @@ def evaluate(scored: DataFrame, label: str = "label", raw: str = "rawPrediction"
     return {m: evaluator.setMetricName(m).evaluate(scored) for m in ("areaUnderROC", "areaUnderPR")}
 
 
-def cross_validate(estimator: Estimator, train: DataFrame, grid: dict[str, list], folds: int = 5, parallelism: int = 4, label: str = "label") -> CrossValidatorModel:
-    """Search the grid with k folds; the best setting is refitted on all rows."""
+FOLD = "_fold"
+
+
+def with_fold(df: DataFrame, key: str, folds: int = 5, alias: str = FOLD) -> DataFrame:
+    """A fold number from 0 by a hash of the row key (other digits than :func:`hash_split` takes)."""
+    return df.withColumn(alias, (F.conv(F.substring(F.md5(F.col(key).cast("string")), 5, 7), 16, 10).cast("int") % folds).cast("int"))
+
+
+def settings(estimator: Estimator, grid: dict[str, list]) -> list:
+    """Every combination of the grid's values."""
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)
+    return builder.build()
+
+
+def cross_validate(
+    estimator: Estimator, train: DataFrame, grid: dict[str, list], folds: int = 5, parallelism: int = 4, label: str = "label", key: str = "doc_id"
+) -> CrossValidatorModel:
+    """Search the grid with k folds; the best setting is refitted on all rows.
+
+    A row's fold follows from its key, so it is the same however the rows are
+    partitioned and whichever task is run again.
+    """
     return CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=builder.build(),
+        estimatorParamMaps=settings(estimator, grid),
         evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
         numFolds=folds,
+        foldCol=FOLD,
         parallelism=parallelism,
         seed=100,
-    ).fit(train)
+    ).fit(with_fold(train, key, folds))
 
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:
@@ -178,6 +198,58 @@ def area_under_roc(scored: DataFrame, label: str = "label", score_column: str =
     return joined.agg((twice / (2 * F.sum("_p") * F.sum("_n"))).alias("area"))
 
 
+def area_under_pr(scored: DataFrame, label: str = "label", score_column: str = "probability_1") -> DataFrame:
+    """One row, ``area``: under the precision-recall curve, with straight lines between its points.
+
+    The curve has a point for each distinct score, from the highest down, and
+    begins at recall 0 with the first point's precision.  A point's share of
+    the area follows from its own counts and the sums before it, which run
+    within ordered ranges.  Without a positive row the area is null.
+    """
+    counted = scored.select((-F.col(score_column)).alias("_s"), (F.col(label) == 1).alias("_y"))
+    counted = materialize(counted.groupBy("_s").agg(F.count_if("_y").alias("_p"), F.count_if(~F.col("_y")).alias("_n")), "pr-scores")
+    cut = ranged(counted, ["_s"], written=True)
+    cut = counted.withColumn(RANGE, F.lit(0).cast("long")) if cut is None else cut
+    before = running(cut.groupBy(RANGE).agg(F.sum("_p").alias("_tp"), F.sum("_n").alias("_tn")), {"_tp": "_bp", "_tn": "_bn"})
+    within = Window.partitionBy(RANGE).orderBy("_s")
+    summed = cut.withColumns({"_up": F.sum("_p").over(within), "_un": F.sum("_n").over(within)}).join(_small(before), RANGE)
+    hits, all_ = F.col("_up") + F.col("_bp"), F.col("_up") + F.col("_bp") + F.col("_un") + F.col("_bn")
+    now = hits / all_
+    earlier = F.coalesce(F.try_divide(hits - F.col("_p"), all_ - F.col("_p") - F.col("_n")), now)
+    return summed.agg(F.try_divide(F.sum(F.col("_p") * (now + earlier)), 2 * F.sum("_p")).alias("area"))
+
+
+INTERCEPT = "(intercept)"
+
+
+def long_features(df: DataFrame, key: str, categories: list[str], numbers: list[str]) -> DataFrame:
+    """``key, feature, value``: a row for each feature that is not zero, named as :func:`feature_names` has them.
+
+    A null category or number has no row, as if it were the category or the
+    number that is zero.
+    """
+    values = [F.struct(F.concat(F.lit(f"{c}_vector_"), F.col(c).cast("string")).alias("feature"), F.lit(1.0).alias("value")) for c in categories]
+    values += [F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value")) for n in numbers]
+    rows = df.select(key, F.explode(F.array(*values)).alias("_f")).select(key, "_f.feature", "_f.value")
+    return rows.where("feature IS NOT NULL AND value IS NOT NULL AND value <> 0")
+
+
+def score_by_table(df: DataFrame, weights: DataFrame, key: str, categories: list[str], numbers: list[str], keep: list[str] = ()) -> DataFrame:
+    """Logistic scores of a model that is a table ``feature, weight``: ``key, *keep, prediction, probability_1``.
+
+    The margin is a join of the features with the weights and a sum per key; a
+    feature without a weight counts nothing, so does a weight without a
+    feature.  The model may have more features than one task or the driver
+    holds.  ``key`` must be unique.
+    """
+    weighed = long_features(df, key, categories, numbers).join(_small(weights.where(F.col("feature") != INTERCEPT)), "feature")
+    sums = weighed.groupBy(key).agg(F.sum(F.col("value") * F.col("weight")).alias("_sum"))
+    constant = weights.where(F.col("feature") == INTERCEPT).agg(F.coalesce(F.sum("weight"), F.lit(0.0))).scalar()
+    margin = F.coalesce(F.col("_sum"), F.lit(0.0)) + constant
+    scored = df.select(key, *keep).join(sums, key, "left").withColumn("probability_1", 1 / (1 + F.exp(-margin)))
+    return scored.select(key, *keep, (F.col("probability_1") > 0.5).cast("double").alias("prediction"), "probability_1")
+
+
 def tree_summary(model, df: DataFrame) -> DataFrame:
     """Node count, depth and impurity of a fitted decision tree."""
     row = (int(model.numNodes), int(model.depth), model.getImpurity())

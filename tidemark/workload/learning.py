@@ -212,3 +212,79 @@ def ml_prediction_counts(spark, d):
     model, rows = _fit_on_train(spark, d, classify.forest())
     scored = classify.score(model, rows, ["lang"])
     return scored.groupBy("lang", "prediction").agg(F.count(F.lit(1)).alias("n")).orderBy("lang", "prediction")
+
+
+@query(f"""
+WITH {_SCORED}, points AS (
+  SELECT s, count(*) FILTER (y = 1) AS p, sum(count(*) FILTER (y = 1)) OVER falling AS tp, sum(count(*)) OVER falling AS seen
+  FROM scored GROUP BY s WINDOW falling AS (ORDER BY s DESC)),
+steps AS (
+  SELECT p, tp / seen::DOUBLE AS now, lag(tp / seen::DOUBLE) OVER (ORDER BY s DESC) AS earlier FROM points)
+SELECT round(sum(p * (now + coalesce(earlier, now))) / (2 * sum(p)), 9) AS area FROM steps
+""")
+def ml_area_under_pr(spark, d):
+    """Precision and recall of a given score, here the number of characters."""
+    return classify.area_under_pr(_scored(spark, d), "y", "s").select(F.round("area", 9).alias("area"))
+
+
+@query("""
+WITH train AS (
+  SELECT CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 5, 7) AS INTEGER) % 5 AS fold FROM labels JOIN documents USING (doc_id)
+  WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 4) AS INTEGER) < 45875),
+grid AS (
+  SELECT r.v AS "regParam", e.v AS "elasticNetParam", m.v AS "maxIter"
+  FROM (VALUES (0.01), (0.5), (2.0)) r(v), (VALUES (0.0), (0.5), (1.0)) e(v), (VALUES (1.0), (5.0), (10.0)) m(v))
+SELECT CAST("regParam" AS DOUBLE) AS "regParam", CAST("elasticNetParam" AS DOUBLE) AS "elasticNetParam", CAST("maxIter" AS DOUBLE) AS "maxIter",
+       fold, count(*) AS n_valid, (SELECT count(*) FROM train) - count(*) AS n_train
+FROM grid, train GROUP BY ALL
+""")
+def ml_folds(spark, d):
+    """The fits of the logistic search: every setting with the rows that each fold is fitted on and judged by."""
+    rows = lookup_join(read(spark, d, "documents").select("doc_id"), read(spark, d, "labels").select("doc_id"), ["doc_id"], "inner")
+    folds = classify.with_fold(classify.hash_split(rows, "doc_id")[0], "doc_id").groupBy(F.col(classify.FOLD).alias("fold")).agg(F.count(F.lit(1)).alias("n_valid"))
+    folds = materialize(folds, "folds")
+    whole = folds.agg(F.sum("n_valid")).scalar()
+    grid = [{p.name: float(v) for p, v in setting.items()} for setting in classify.settings(classify.logistic(), classify.LOGISTIC_GRID)]
+    settings = spark.createDataFrame([(g["regParam"], g["elasticNetParam"], g["maxIter"]) for g in grid], "regParam double, elasticNetParam double, maxIter double")
+    return settings.crossJoin(folds.withColumn("n_train", whole - F.col("n_valid")))
+
+
+# A model as a table.
+_WEIGHTS = [
+    ("(intercept)", -0.4), ("lang_vector_en", 0.35), ("lang_vector_de", -0.2), ("source_vector_src0", 0.15), ("source_vector_src1", -0.6),
+    ("n_chars", 0.0001), ("n_words", -0.0004), ("n_lines", 0.002), ("digit_share", -3.5), ("never_seen", 9.0),
+]
+_MODEL_SQL = r"""
+WITH weights(feature, weight) AS (VALUES """ + ", ".join(f"('{f}', CAST({w} AS DOUBLE))" for f, w in _WEIGHTS) + r"""),
+measured AS (
+  SELECT doc_id, lang, source, CAST(n_chars AS DOUBLE) AS n_chars, CAST(len(regexp_split_to_array(text, '\s+')) AS DOUBLE) AS n_words,
+         CAST(len(string_split(text, chr(10))) AS DOUBLE) AS n_lines,
+         CAST(length(regexp_replace(text, '[^0-9]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS digit_share
+  FROM documents JOIN labels USING (doc_id)),
+features AS (
+  SELECT doc_id, 'lang_vector_' || lang AS feature, 1.0::DOUBLE AS value FROM measured
+  UNION ALL SELECT doc_id, 'source_vector_' || source, 1.0 FROM measured
+  UNION ALL SELECT doc_id, 'n_chars', n_chars FROM measured UNION ALL SELECT doc_id, 'n_words', n_words FROM measured
+  UNION ALL SELECT doc_id, 'n_lines', n_lines FROM measured UNION ALL SELECT doc_id, 'digit_share', digit_share FROM measured),
+sums AS (SELECT doc_id, sum(value * weight) AS m FROM features JOIN weights USING (feature) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, lang, source, 1 / (1 + exp(-(coalesce(m, 0) + (SELECT weight FROM weights WHERE feature = '(intercept)')))) AS p
+  FROM measured LEFT JOIN sums USING (doc_id))
+"""
+
+
+def _scored_by_table(spark, d):
+    rows = materialize(_labelled(spark, d), "measures")
+    weights = spark.createDataFrame(_WEIGHTS, "feature string, weight double")
+    return classify.score_by_table(rows, weights, "doc_id", CATEGORIES, NUMBERS, ["lang", "source"])
+
+
+@query(_MODEL_SQL + "SELECT doc_id, lang, source, CAST(p > 0.5 AS DOUBLE) AS prediction, round(p, 9) AS probability_1 FROM scored")
+def ml_score_table(spark, d):
+    """Scores of a model whose coefficients are rows."""
+    return _scored_by_table(spark, d).withColumn("probability_1", F.round("probability_1", 9))
+
+
+@query(_MODEL_SQL + "SELECT lang, CAST(p > 0.5 AS DOUBLE) AS prediction, count(*) AS n FROM scored GROUP BY ALL")
+def ml_table_prediction_counts(spark, d):
+    return _scored_by_table(spark, d).groupBy("lang", "prediction").agg(F.count(F.lit(1)).alias("n"))
