@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import project
+from tidemark.operators import json_paths, project
 from tidemark.plans import consolidate as raw_zone
 from tidemark.session import materialize, shared_dir
 from tidemark.sinks import files as file_sinks
@@ -374,6 +374,31 @@ def json_key_drift(spark, d):
     return project.json_drift(project.rows_as_json(rows), "json", known=["c_custkey", "c_name"])
 
 
+@query("""
+WITH o AS (SELECT *, o_orderdate >= TIMESTAMP '1998-01-01' AS late FROM orders),
+found AS (
+  SELECT '$.info.priority' AS path, 'string' AS type, NULL AS known FROM o WHERE late
+  UNION ALL SELECT unnest(['$.tags', '$.tags[]', '$.tags[].of']), unnest(['array', 'object', 'string']), NULL FROM o WHERE late
+  UNION ALL SELECT '$.info.total', CASE WHEN late THEN 'string' ELSE 'double' END, 'double' FROM o)
+SELECT CASE WHEN known IS NULL THEN 'added' ELSE 'retyped' END AS change, path, string_agg(DISTINCT type, '|' ORDER BY type) AS source_types,
+       known AS target_type, count(*) AS n_values
+FROM found GROUP BY path, known
+UNION ALL SELECT 'removed', '$.info.gone', NULL, 'bigint', NULL
+""")
+def json_path_drift(spark, d):
+    """Nested JSON whose later rows have a further key, a further list and a key of another type."""
+    late = F.col("o_orderdate") >= ntz("1998-01-01")
+    total = F.col("o_totalprice").cast("double")
+    early_info = F.struct(F.col("o_orderstatus").alias("status"), total.alias("total"))
+    late_info = F.struct(F.col("o_orderstatus").alias("status"), total.cast("string").alias("total"), F.col("o_orderpriority").alias("priority"))
+    tags = F.array(F.struct(F.col("o_orderpriority").alias("of")))
+    key = F.col("o_orderkey").alias("key")
+    text = F.when(late, F.to_json(F.struct(key, late_info.alias("info"), tags.alias("tags")))).otherwise(F.to_json(F.struct(key, early_info.alias("info"))))
+    known = [("$", "object"), ("$.key", "bigint"), ("$.info", "object"), ("$.info.status", "string"), ("$.info.total", "double"), ("$.info.gone", "bigint")]
+    rows = read(spark, d, "orders").select(text.alias("payload"))
+    return json_paths.json_path_drift(rows, "payload", spark.createDataFrame(known, "path string, type string"))
+
+
 @query("""
 SELECT CAST(id AS INTEGER) AS "Mapping_Id", 'dbo' AS "Src_Schema_nm", 'events' AS "Src_tbl_nm", src AS "Src_cl_nm",
        'source1' AS "Src_nm", 'bronze' AS "Dst_Schema_nm", 'events' AS "Dst_tbl_nm", dst AS "Dst_cl_nm",
