@@ -114,6 +114,15 @@ def test_a_batch_that_died_is_replaced(spark, landing, tmp_path):
     assert rows(table.read()) == {1: ("1", None), 2: ("0.5", None), 3: ("x", None)}
 
 
+@pytest.mark.parametrize("numbers, kind", [
+    (["1", "2"], "bigint"), (["7.0"], "double"), (["1", "7.0"], "double"), (["1e3"], "double"), (["1", "0.5"], "double"),
+    (["1", "12345678901234567890"], "string"), (["1", "null"], "bigint"), (["null"], "void"),
+])
+def test_schema_of_numbers(spark, numbers, kind):
+    lines = spark.createDataFrame([(f'{{"a": {n}}}',) for n in numbers], "value string")
+    assert json_schema(lines)["a"].dataType.simpleString() == kind
+
+
 def test_schema_of_text(spark):
     lines = spark.createDataFrame([('{"a": 1, "b": {"c": [1]}}',), ('{"a": 123456789012345678901234, "b": {"c": [2.5]}}',), ("[",), (None,)], "value string")
     assert json_schema(lines).simpleString() == "struct<a:string,b:struct<c:array<double>>>"

@@ -1,7 +1,7 @@
 from tests.conftest import rows
 from tidemark.operators.json_paths import json_path_drift, json_paths
 
-TEXTS = ['{"a": 1, "b": {"c": [1, 2.5, null], "d": {}}}', '{"a": "x", "b": {"c": [], "e": [[true]]}}', '{"a": null}', "[{}, 3]", "{broken", None, "7", "123456789012345678901234"]
+TEXTS = ['{"a": 1, "b": {"c": [1, 2.5, null], "d": {}}}', '{"a": "x", "b": {"c": [], "e": [[true]]}}', '{"a": null}', "[{}, 3]", "{broken", None, "7", "123456789012345678901234", "7.0"]
 
 
 def texts(spark, values):
@@ -10,7 +10,7 @@ def texts(spark, values):
 
 def test_every_path_and_type(spark):
     assert rows(json_paths(texts(spark, TEXTS), "t")) == sorted([
-        ("$", "object", 3), ("$", "array", 1), ("$", "malformed", 1), ("$", "bigint", 1), ("$", "decimal", 1),
+        ("$", "object", 3), ("$", "array", 1), ("$", "malformed", 1), ("$", "bigint", 1), ("$", "decimal", 1), ("$", "double", 1),
         ("$.a", "bigint", 1), ("$.a", "string", 1), ("$.a", "null", 1), ("$.b", "object", 2), ("$.b.c", "array", 2),
         ("$.b.c[]", "bigint", 1), ("$.b.c[]", "double", 1), ("$.b.c[]", "null", 1), ("$.b.d", "object", 1),
         ("$.b.e", "array", 1), ("$.b.e[]", "array", 1), ("$.b.e[][]", "boolean", 1), ("$[]", "object", 1), ("$[]", "bigint", 1),

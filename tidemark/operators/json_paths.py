@@ -11,11 +11,11 @@ MALFORMED = "malformed"
 
 
 def _kind(value: Column) -> Column:
-    """The plain name of a VARIANT value's type."""
+    """The plain name of a VARIANT value's type; 7.0 is a decimal without places there, and a double here."""
     shape = F.schema_of_variant(value)
     return (
         F.when(shape.startswith("OBJECT"), "object").when(shape.startswith("ARRAY"), "array").when(shape == "VOID", "null")
-        .when(shape.rlike(r"^DECIMAL\(\d+,0\)"), "decimal").when(shape.startswith("DECIMAL"), "double").otherwise(F.lower(shape))
+        .when(shape.rlike(r"^DECIMAL\((19|[23]\d),0\)"), "decimal").when(shape.startswith("DECIMAL"), "double").otherwise(F.lower(shape))
     )
 
 

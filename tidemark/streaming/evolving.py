@@ -28,13 +28,17 @@ class Known(NamedTuple):
 def json_schema(lines: DataFrame, column: str = "value") -> T.StructType:
     """The schema of all JSON objects in a text column: one aggregate over VARIANT values.
 
-    Integers are bigint (string beyond its range), other numbers double.  A
-    field with values that have no type in common is a string.  Fields that
-    are null everywhere are void.
+    Integers are bigint, other numbers double; a field that may hold integers
+    of 19 digits or more is a string, as neither has room for them.  A field
+    with values that have no type in common is a string.  Fields that are null
+    everywhere are void.
     """
     value = F.try_parse_json(column)
-    found = lines.select(value.alias("v")).where(F.schema_of_variant("v").startswith("OBJECT")).agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
-    return T.StructType([]) if found is None or not found.startswith("OBJECT<") else _as_type(T.DataType.fromDDL(_struct_ddl(found)))
+    objects = lines.select(value.alias("v"), F.col(column).alias("text")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    found = objects.agg(F.schema_of_variant_agg("v").alias("shape"), F.bool_or(F.col("text").rlike("[0-9]{19,}")).alias("long")).first()
+    if found["shape"] is None or not found["shape"].startswith("OBJECT<"):
+        return T.StructType([])
+    return _as_type(T.DataType.fromDDL(_struct_ddl(found["shape"])), found["long"])
 
 
 def _struct_ddl(text: str) -> str:
@@ -44,13 +48,14 @@ def _struct_ddl(text: str) -> str:
     return "`".join(parts)
 
 
-def _as_type(kind: T.DataType) -> T.DataType:
+def _as_type(kind: T.DataType, long: bool) -> T.DataType:
+    """The table's type for a VARIANT's; ``long``: some text has 19 digits in a row."""
     if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _as_type(f.dataType)) for f in kind])
+        return T.StructType([T.StructField(f.name, _as_type(f.dataType, long)) for f in kind])
     if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_as_type(kind.elementType))
-    if isinstance(kind, T.DecimalType):
-        return T.DoubleType() if kind.scale else T.StringType()
+        return T.ArrayType(_as_type(kind.elementType, long))
+    if isinstance(kind, T.DecimalType):  # 7.0 has no places there, and with bigint it has 20 digits
+        return T.StringType() if long and not kind.scale and kind.precision > 18 else T.DoubleType()
     return T.StringType() if isinstance(kind, T.VariantType) else kind
 
 
