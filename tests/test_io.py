@@ -192,3 +192,26 @@ def test_three_layers(spark):
     fact_map = [ColumnMap("contact_id", "cid", is_key=True), ColumnMap("full_name", "name"), ColumnMap("LastLoadDate", "LastLoadDate")]
     fact = gold_fact(snapshot(silver), None, fact_map, [], "LastLoadDate", F.lit("2024-02-01").cast("timestamp_ntz"), order)
     assert rows(fact.select("cid")) == [("2",), ("3",)]
+
+
+def test_a_staged_load_is_one_write(spark, path, monkeypatch):
+    """Replaced BUs and rows without one come together or not at all."""
+
+    def frame(*values):
+        return spark.createDataFrame(values, "v int, BU string")
+
+    stored = lambda: rows(tables.read_partitioned(spark, path, frame((0, "")), ["BU"]).select("v", "BU"))
+    tables.load_staged(frame((1, "A"), (2, "B"), (3, None), (3, None)), path, "t_stg_h")
+    before = stored()
+    assert before == [(1, "A"), (2, "B"), (3, None), (3, None)]
+    with monkeypatch.context() as m:
+        m.setattr(tables, "replace_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            tables.load_staged(frame((9, "A"), (9, None)), path, "t_stg_h")
+    assert stored() == before
+    tables.load_staged(frame((4, "A"), (5, None)), path, "t_stg_h")
+    assert stored() == [(2, "B"), (3, None), (3, None), (4, "A"), (5, None)]
+    tables.load_staged(frame((6, "B")), path, "t_stg_h")
+    assert stored() == [(3, None), (3, None), (4, "A"), (5, None), (6, "B")]
+    tables.load_staged(frame((7, None)), path, "t")
+    assert (7, None) in stored() and len(stored()) == 6

@@ -137,13 +137,26 @@ def merge_partitions(
 def load_staged(df: DataFrame, path: str, table: str, bu: str = "BU") -> None:
     """History staging tables (``*_stg_h``) replace their BUs, others append.
 
-    Rows without a BU replace nothing: they are added to those there.
+    Rows without a BU replace nothing: they are added to those there.  All of
+    it is one write: where the batch has such rows, those that the table has
+    are read first and written again with them, so that a load that dies in
+    between has neither replaced a BU nor added a row.  The rows to write are
+    put into the shared folder before the table is touched.
     """
-    if table.endswith("_stg_h"):
-        replace_partitions(df.where(F.col(bu).isNotNull()), path, [bu])
-        append_rows(df.where(F.col(bu).isNull()), path, [bu])
-    else:
+    if not table.endswith("_stg_h"):
         append_rows(df, path, [bu])
+        return
+    unknown = F.col(bu).isNull()
+    rows = materialize(df, "staged-batch")
+    if not rows.where(unknown).isEmpty() and _exists(df.sparkSession, path):
+        there = read_partitioned(df.sparkSession, path, df, [bu]).where(unknown)
+        rows = materialize(union_all_by_name([rows, there]), "staged-rows")
+    replace_partitions(rows, path, [bu])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def create_table(spark: SparkSession, name: str, columns: str, partitioned_by: list[str] | None = None, location: str | None = None) -> None:
