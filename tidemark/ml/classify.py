@@ -127,22 +127,23 @@ def settings(estimator: Estimator, grid: dict[str, list]) -> list:
 
 
 def cross_validate(
-    estimator: Estimator, train: DataFrame, grid: dict[str, list], folds: int = 5, parallelism: int = 4, label: str = "label", key: str = "doc_id"
+    estimator: Estimator, train: DataFrame, grid: dict[str, list], folds: int = 5, parallelism: int = 4, label: str = "label", key: str | None = None
 ) -> CrossValidatorModel:
     """Search the grid with k folds; the best setting is refitted on all rows.
 
-    A row's fold follows from its key, so it is the same however the rows are
-    partitioned and whichever task is run again.
+    With a ``key`` a row's fold follows from it, so it is the same however the
+    rows are partitioned and whichever task is run again.  Without one the
+    folds are drawn, and depend on the partitioning.
     """
-    return CrossValidator(
+    search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=settings(estimator, grid),
         evaluator=BinaryClassificationEvaluator(labelCol=label, numBins=0),
         numFolds=folds,
-        foldCol=FOLD,
         parallelism=parallelism,
         seed=100,
-    ).fit(with_fold(train, key, folds))
+    )
+    return search.fit(train) if key is None else search.setFoldCol(FOLD).fit(with_fold(train, key, folds))
 
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:

@@ -46,7 +46,7 @@ def _scored(spark, d):
 def _searched(spark, d, estimator, grid):
     """Every setting of the grid with its mean area over five folds."""
     train, _ = _split(spark, d)
-    searched = classify.cross_validate(estimator, train.cache(), grid)
+    searched = classify.cross_validate(estimator, train.cache(), grid, key="doc_id")
     train.unpersist()
     rows = [
         (str(dict(sorted((p.name, float(v)) for p, v in setting.items()))), float(area))
