@@ -140,17 +140,16 @@ def load_staged(df: DataFrame, path: str, table: str, bu: str = "BU") -> None:
     Rows without a BU replace nothing: they are added to those there.  All of
     it is one write: where the batch has such rows, those that the table has
     are read first and written again with them, so that a load that dies in
-    between has neither replaced a BU nor added a row.  The rows to write are
-    put into the shared folder before the table is touched.
+    between has neither replaced a BU nor added a row.  In that case the rows
+    to write are put into the shared folder before the table is touched.
     """
     if not table.endswith("_stg_h"):
         append_rows(df, path, [bu])
         return
-    unknown = F.col(bu).isNull()
-    rows = materialize(df, "staged-batch")
-    if not rows.where(unknown).isEmpty() and _exists(df.sparkSession, path):
+    rows, unknown = df, F.col(bu).isNull()
+    if _exists(df.sparkSession, path) and not df.where(unknown).isEmpty():
         there = read_partitioned(df.sparkSession, path, df, [bu]).where(unknown)
-        rows = materialize(union_all_by_name([rows, there]), "staged-rows")
+        rows = materialize(union_all_by_name([df, there]), "staged-rows")
     replace_partitions(rows, path, [bu])
 
 
