@@ -1,25 +1,29 @@
 """Documents whose sets of word n-grams are similar, by rare-first prefix filtering.
 
-The n-grams of a set are ordered by how many documents have them, rarest
-first.  Two sets of Jaccard similarity ``t`` share an n-gram among the first
-``n - ceil(t n) + 1`` of each, so only these prefixes are joined.  Sizes, the
-places of the shared n-grams and their number bound the overlap (length and
+The n-grams of a set are ordered by how many classes of equal sets have them,
+rarest first.  Two sets of Jaccard similarity ``t`` share an n-gram among the
+first ``n - ceil(t n) + 1`` of each, so only these prefixes are joined.  Sizes,
+the places of the shared n-grams and their number bound the overlap (length and
 positional filter), sizes of both sets within ranges of the hash bound it again (suffix
 filter), and the pairs left are verified on the whole sets, once each.
 
-Counts for the order come from all documents, in a fixed number of counters
-that n-grams share; any order gives the same result, a truer one fewer pairs.
+The counts are exact: every n-gram of every class is dealt by its value once,
+and only those that several classes have go on.  What a class has alone comes
+first in its order, so it is known by number.
 
 Groups of copies never become all pairs.  Equal sets are one class, known by
-its smallest id.  The first class that has a prefix n-gram stands for all that
-share it; each class is compared with the one such first that it shares most
-with, then with others that it is not joined to yet.  What that links is one
-component, and only pairs across components are compared at the end.
+its smallest id.  Of the classes that share a prefix n-gram the one with the
+fewest n-grams of its own leads: a text that others were copied from has few,
+each copy has its edits.  Each class is compared with the lead that it shares
+most with, then with the other leads that it is not joined to yet.  What that
+links is one component.  At the end only classes outside the largest component
+of an n-gram's group are compared with the rest of the group, and only with
+those whose length and place leave room for the overlap.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,14 +39,13 @@ from tidemark.session import materialize
 WORDS = 5
 #: Similarity as a fraction.
 ABOVE, OF = 3, 4
-COUNTER_BITS = 18
 RANGES = 16
-#: A counter above this is spread over so many groups.
-HOT, SPREAD = 100_000, 64
+#: Lengths of one band differ by less than this factor.
+BAND = 1.1
 BATCH = 500_000
 
-FOUND = "counter int, n long, doc_id long, s1 long, s2 long, ranges array<int>"
-PREFIX = "doc_id long, n long, cold int, grams array<long>"
+FOUND = "n long, doc_id long, s1 long, s2 long, ranges array<int>"
+SETS = "rep long, n long, s1 long, grams array<long>"
 
 
 def scramble(h: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -71,41 +74,30 @@ def sets(texts: list[str], size: int = WORDS) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def sums(found: list[np.ndarray], odd: np.uint64, change: np.uint64 = np.uint64(0)) -> list[int]:
+    """One number for each set, the same for equal sets."""
+    return [int(scramble(g ^ change, odd).sum(dtype=np.uint64).astype(np.int64)) for g in found]
+
+
 def _scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row for each document, and at the end of a task one for each counter."""
-    counters = np.zeros(1 << COUNTER_BITS, np.int64)
     for frame in bounded(frames, "text", BATCH):
         found = list(sets(frame["text"].tolist()))
-        every = np.concatenate([*found, np.zeros(0, np.uint64)])
-        counters += np.bincount((every >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counters))
         yield pd.DataFrame(
             {
-                "counter": pd.Series([None] * len(found), dtype="Int32"),
                 "n": [len(g) for g in found],
                 "doc_id": frame["doc_id"].to_numpy(),
-                "s1": [int(scramble(g, WIDE).sum(dtype=np.uint64).astype(np.int64)) for g in found],
-                "s2": [int(scramble(g ^ WIDE_2, WIDE_2).sum(dtype=np.uint64).astype(np.int64)) for g in found],
+                "s1": sums(found, WIDE),
+                "s2": sums(found, WIDE_2, WIDE_2),
                 "ranges": [np.bincount((g >> np.uint64(60)).astype(np.int64), minlength=RANGES).astype(np.int32) for g in found],
             }
         )
-    at = np.flatnonzero(counters)
-    yield pd.DataFrame({"counter": at.astype(np.int32), "n": counters[at], "doc_id": 0, "s1": 0, "s2": 0, "ranges": None})
-
 
-def _prefixes(shared, hot: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def prefix(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counters = shared.value
-        for frame in bounded(frames, "text", BATCH):
-            rows = []
-            for doc_id, grams in zip(frame["doc_id"].tolist(), sets(frame["text"].tolist()), strict=True):
-                n = len(grams)
-                if n:
-                    count = counters[(grams >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-                    order = np.argsort(count, kind="stable")[: n - -(-ABOVE * n // OF) + 1]
-                    rows.append((doc_id, n, int((count[order] < hot).sum()), grams[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "cold", "grams"])
 
-    return prefix
+def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in bounded(frames, "text", BATCH):
+        found = list(sets(frame["text"].tolist()))
+        grams = pd.Series([g.view(np.int64) for g in found], dtype=object)
+        yield pd.DataFrame({"rep": frame["doc_id"].to_numpy(), "n": [len(g) for g in found], "s1": sums(found, WIDE), "grams": grams})
 
 
 def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,75 +115,96 @@ def may_overlap(n_a: str, at_a: str, n_b: str, at_b: str) -> Column:
     return (ABOVE + OF) * F.least(F.col(n_a) - F.col(at_a), F.col(n_b) - F.col(at_b)) >= ABOVE * (F.col(n_a) + F.col(n_b))
 
 
+def n_of(packed: str) -> Column:
+    return F.shiftright(packed, 32)
+
+
+def at_of(packed: str) -> Column:
+    return F.col(packed).bitwiseAND((1 << 32) - 1)
+
+
+def band_of(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    """The pairs alone, smaller end first, so that a pair is known whichever way it was found."""
+    return pairs.select(F.least("rep", "first").alias("rep"), F.greatest("rep", "first").alias("first"))
+
+
 class Join:
     """The steps over one table of documents."""
 
-    def __init__(self, docs: DataFrame, hot: int = HOT):
-        self.docs, self.hot, self.spark = for_python(docs), hot, docs.sparkSession
+    def __init__(self, docs: DataFrame):
+        self.docs = for_python(docs)
 
     def scan(self) -> None:
-        found = materialize(self.docs.mapInPandas(_scan, FOUND), "ngram-scan")
-        self.seen = found.where("counter is null").drop("counter")
-        sums = found.where("counter is not null").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
-        self.counters = np.zeros(1 << COUNTER_BITS, np.int64)
-        self.counters[sums["counter"].to_numpy(int)] = sums["n"].to_numpy()
+        self.seen = materialize(self.docs.mapInPandas(_scan, FOUND), "ngram-scan")
         classes = self.seen.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("ranges").alias("ranges"))
         self.classes = materialize(classes, "ngram-classes")
 
+    def common(self) -> DataFrame:
+        """``rep, n, s1, gram, classes``: the n-grams that at least two classes have."""
+        reps = self.classes.select(F.col("rep").alias("doc_id")).distinct()
+        whole = self.docs.join(small_side(reps), "doc_id", "left_semi").mapInPandas(_sets, SETS)
+        rows = whole.select("rep", "n", "s1", F.explode("grams").alias("gram"))
+        return rows.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("classes > 1")
+
     def share(self) -> None:
-        """Prefix n-grams that at least two classes have, each with the first class of its group."""
-        counters = self.spark.sparkContext.broadcast(self.counters)
-        prefixes = self.docs.mapInPandas(_prefixes(counters, self.hot), PREFIX)
-        reps = self.classes.select(F.col("rep").alias("doc_id"), "n")
-        rows = prefixes.join(reps, ["doc_id", "n"], "left_semi").select("doc_id", "n", "cold", F.posexplode("grams").alias("at", "gram"))
-        salt = F.when(F.col("at") >= F.col("cold"), F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int") + 1).otherwise(0)
-        rows = rows.select("gram", salt.alias("salt"), F.col("doc_id").alias("rep"), F.shiftleft("n", 32).bitwiseOR(F.col("at").cast("long")).alias("n_at"))
-        group = Window.partitionBy("gram", "salt").orderBy("rep")
-        rows = rows.withColumn("lead", F.lead("rep").over(group))
-        running = group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rows = rows.withColumn("first", F.first("rep").over(running)).withColumn("first_n_at", F.first("n_at").over(running))
-        rows = rows.where("salt > 0 or first <> rep or lead is not null").drop("lead")
-        self.shared = materialize(rows, "ngram-shared")
+        """Prefix n-grams that at least two classes have, each with the lead of its group."""
+        order = F.sort_array(F.collect_set(F.struct("classes", "gram")))
+        sets_ = self.common().groupBy("rep", "n", "s1").agg(order.alias("common")).withColumn("own", F.col("n") - F.size("common"))
+        prefix = F.col("n") - F.ceil(ABOVE * F.col("n") / OF) + 1
+        sets_ = sets_.withColumn("room", (prefix - F.col("own")).cast("int")).where("room > 0")
+        rows = sets_.select("rep", "n", "own", F.posexplode(F.slice("common", F.lit(1), F.col("room"))).alias("place", "of"))
+        packed = F.shiftleft("n", 32).bitwiseOR(F.col("own") + F.col("place")).alias("n_at")
+        rows = materialize(rows.select(F.col("of.gram").alias("gram"), "rep", "own", packed), "ngram-prefixes")
+        # combined before the shuffle, so a group of any size has its lead without lying in one task
+        lead = F.min_by(F.struct("rep", "n_at"), F.struct("own", "rep")).alias("lead")
+        leads = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), lead).where("rows > 1")
+        leads = leads.select("gram", F.col("lead.rep").alias("first"), F.col("lead.n_at").alias("first_n_at"))
+        self.shared = materialize(rows.join(leads, "gram"), "ngram-shared")
 
     @staticmethod
     def pairs(rows: DataFrame) -> DataFrame:
         """``rep, first, shared``: pairs of rows that pass the length and positional filters, and how many n-grams say so."""
-        n, at = F.shiftright("n_at", 32).alias("n_b"), F.col("n_at").bitwiseAND((1 << 32) - 1).alias("at_b")
-        first_n, first_at = F.shiftright("first_n_at", 32).alias("n_a"), F.col("first_n_at").bitwiseAND((1 << 32) - 1).alias("at_a")
-        split = rows.where("first <> rep").select("rep", "first", n, at, first_n, first_at)
+        split = rows.where("first <> rep").select(
+            "rep", "first", n_of("n_at").alias("n_b"), at_of("n_at").alias("at_b"), n_of("first_n_at").alias("n_a"), at_of("first_n_at").alias("at_a")
+        )
         passed = split.where(similar_size("n_a", "n_b") & may_overlap("n_a", "at_a", "n_b", "at_b"))
         return passed.groupBy("rep", "first").agg(F.count(F.lit(1)).alias("shared"))
 
     def star_pairs(self) -> DataFrame:
-        """Every class with the first of its groups; the firsts of a spread group with the first of all."""
-        heads = self.shared.where("salt > 0 and first = rep").drop("first", "first_n_at")
-        over = Window.partitionBy("gram").orderBy("rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        heads = heads.withColumn("first", F.first("rep").over(over)).withColumn("first_n_at", F.first("n_at").over(over))
-        return materialize(self.pairs(self.shared.unionByName(heads)), "ngram-star")
+        """Every class with the leads of its groups."""
+        return materialize(self.pairs(self.shared), "ngram-star")
 
     @staticmethod
     def best(star: DataFrame) -> DataFrame:
-        """For each class the first that it shares most n-grams with, the smallest of several."""
+        """For each class the lead that it shares most n-grams with, the smallest of several."""
         return star.groupBy("rep").agg(F.max_by("first", F.struct("shared", -F.col("first"))).alias("first"))
 
     def cross_pairs(self, joined: DataFrame) -> DataFrame:
-        """Pairs that share a prefix n-gram and are not in one component yet."""
+        """Pairs that share a prefix n-gram and are not in one component yet.
+
+        One of the two is outside the largest component of the n-gram's group.
+        Its length and place say which lengths the other may have.
+        """
         rows = self.shared.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        rows = rows.select("gram", "rep", "n_at", F.coalesce("component", "rep").alias("part"))
-        split = rows.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("gram")
-        rows = materialize(rows.join(split, "gram", "left_semi"), "ngram-cross")
-        left = rows.select("gram", F.col("rep").alias("first"), F.col("n_at").alias("first_n_at"), F.col("part").alias("first_part"))
-        size, first_size = F.shiftright("n_at", 32).alias("n"), F.shiftright("first_n_at", 32).alias("first_n")
-        both = rows.select("*", size).join(left.select("*", first_size), "gram")
-        both = both.where((F.col("first_part") < F.col("part")) & similar_size("n", "first_n"))
-        place = F.col("n_at").bitwiseAND((1 << 32) - 1), F.col("first_n_at").bitwiseAND((1 << 32) - 1)
-        met = both.groupBy("rep", "first", "n", "first_n").agg(
-            F.count(F.lit(1)).alias("shared"), F.min(place[0]).alias("at"), F.min(place[1]).alias("first_at")
-        )
-        # what one set has after its prefix, and the n-grams that both prefixes share, bound the overlap
-        after = F.ceil(ABOVE * F.greatest("n", "first_n") / OF) - 1
-        enough = (ABOVE + OF) * (F.col("shared") + after) >= ABOVE * (F.col("n") + F.col("first_n"))
-        return met.where(may_overlap("n", "at", "first_n", "first_at") & enough)
+        rows = rows.select("gram", "rep", n_of("n_at").alias("n"), at_of("n_at").alias("at"), F.coalesce("component", "rep").alias("part"))
+        sizes = rows.groupBy("gram", "part").agg(F.count(F.lit(1)).alias("rows"))
+        largest = F.max_by("part", F.struct("rows", "part")).alias("main")
+        mixed = sizes.groupBy("gram").agg(F.count(F.lit(1)).alias("parts"), largest).where("parts > 1").select("gram", "main")
+        rows = materialize(rows.join(mixed, "gram").withColumn("inside", F.col("part") == F.col("main")).drop("main"), "ngram-cross")
+        low, high = F.floor((ABOVE * F.col("n") + OF - 1) / OF), F.floor((OF * F.col("n") - (ABOVE + OF) * F.col("at")) / ABOVE)
+        outside = rows.where(~F.col("inside")).drop("inside").withColumn("low", low).withColumn("high", high).where("low <= high")
+        outside = outside.select("gram", "rep", "n", "at", "part", F.explode(F.sequence(band_of(F.col("low")), band_of(F.col("high")))).alias("band"))
+        other = rows.withColumnsRenamed({"rep": "first", "n": "first_n", "at": "first_at", "part": "first_part"})
+        other = other.withColumn("band", band_of(F.col("first_n")))
+        apart = (F.col("first_part") != F.col("part")) & (F.col("inside") | (F.col("first") < F.col("rep")))
+        fits = similar_size("n", "first_n") & may_overlap("n", "at", "first_n", "first_at")
+        there, here = other.alias("there"), outside.alias("here")
+        same = (F.col("here.gram") == F.col("there.gram")) & (F.col("here.band") == F.col("there.band"))
+        return here.join(there, same & apart & fits).select("rep", "first").distinct()
 
     @staticmethod
     def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
@@ -228,7 +241,7 @@ class Join:
         return materialize(links.select("a", "b").distinct(), "ngram-links")
 
 
-def similar_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def similar_documents(docs: DataFrame) -> DataFrame:
     """One row per table row: ``doc_id, n_shingles, component_id``.
 
     A document's set holds its distinct 5-word shingles, with fewer words the
@@ -240,18 +253,18 @@ def similar_documents(docs: DataFrame, hot: int = HOT) -> DataFrame:
     one large set in one task.  Other columns are not read; an empty table
     gives no rows.
     """
-    join = Join(docs, hot)
+    join = Join(docs)
     join.scan()
     join.share()
     classed = join.seen.where("n > 0").join(join.classes.select("s1", "s2", "n", "rep"), ["s1", "s2", "n"]).select("doc_id", "n", "rep")
     several = classed.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("doc_id")
     same_id = classed.join(several, "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     star = join.star_pairs()
-    tried = materialize(join.best(star), "ngram-best")
+    tried = materialize(ordered(join.best(star)).distinct(), "ngram-best")
     links = join.verify(tried).unionByName(same_id)
     joined = materialize(components(links), "ngram-joined")
-    for candidates in (lambda: star.select("rep", "first"), lambda: join.cross_pairs(joined).select("rep", "first")):
-        rest = join.apart(candidates(), joined).join(tried, ["rep", "first"], "left_anti")
+    for candidates in (lambda: star, lambda: join.cross_pairs(joined)):
+        rest = join.apart(ordered(candidates()), joined).distinct().join(tried, ["rep", "first"], "left_anti")
         rest = materialize(rest, "ngram-rest")
         if rest.isEmpty():
             continue
