@@ -45,7 +45,7 @@ BAND = 1.1
 BATCH = 500_000
 
 FOUND = "n long, doc_id long, s1 long, s2 long, ranges array<int>"
-SETS = "rep long, n long, s1 long, grams array<long>"
+SETS = "rep long, twin long, grams array<long>"
 
 
 def scramble(h: np.ndarray, odd: np.uint64) -> np.ndarray:
@@ -97,7 +97,8 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in bounded(frames, "text", BATCH):
         found = list(sets(frame["text"].tolist()))
         grams = pd.Series([g.view(np.int64) for g in found], dtype=object)
-        yield pd.DataFrame({"rep": frame["doc_id"].to_numpy(), "n": [len(g) for g in found], "s1": sums(found, WIDE), "grams": grams})
+        twin = np.where(frame["several"].to_numpy(bool), np.array(sums(found, WIDE), np.int64), 0)
+        yield pd.DataFrame({"rep": frame["doc_id"].to_numpy(), "twin": twin, "grams": grams})
 
 
 def _whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,21 +145,33 @@ class Join:
         self.classes = materialize(classes, "ngram-classes")
 
     def common(self) -> DataFrame:
-        """``rep, n, s1, gram, classes``: the n-grams that at least two classes have."""
-        reps = self.classes.select(F.col("rep").alias("doc_id")).distinct()
-        whole = self.docs.join(small_side(reps), "doc_id", "left_semi").mapInPandas(_sets, SETS)
-        rows = whole.select("rep", "n", "s1", F.explode("grams").alias("gram"))
+        """``rep, twin, gram, classes``: the n-grams that at least two classes have; ``twin`` tells texts of one id apart, else 0."""
+        first, last = (f(F.struct("s1", "s2", "n")) for f in (F.min, F.max))
+        ids = self.seen.where("n > 0").groupBy("doc_id").agg((first != last).alias("several"))
+        reps = ids.join(self.classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        reps = materialize(reps, "ngram-reps")
+        self.named = self.classes.join(reps.withColumnRenamed("doc_id", "rep"), "rep")
+        self.named = self.named.select("rep", F.when(F.col("several"), F.col("s1")).otherwise(0).alias("twin"), "n")
+        whole = self.docs.join(small_side(reps), "doc_id").mapInPandas(_sets, SETS)
+        rows = whole.select("rep", "twin", F.explode("grams").alias("gram"))
         return rows.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("classes > 1")
 
     def share(self) -> None:
-        """Prefix n-grams that at least two classes have, each with the lead of its group."""
-        order = F.sort_array(F.collect_set(F.struct("classes", "gram")))
-        sets_ = self.common().groupBy("rep", "n", "s1").agg(order.alias("common")).withColumn("own", F.col("n") - F.size("common"))
+        """Prefix n-grams that at least two classes have, each with the lead of its group.
+
+        From here on an n-gram is one number: its count's logarithm, then 48
+        bits of its hash.  Where two of a text fall together, the places after
+        them come out lower, which lets more pairs pass and never fewer.
+        """
+        rank = F.shiftleft(F.floor(512 * F.log2("classes")), 48)
+        rows = self.common().select("rep", "twin", rank.bitwiseOR(F.shiftrightunsigned("gram", 16)).alias("gram"))
+        sets_ = rows.groupBy("rep", "twin").agg(F.sort_array(F.collect_set("gram")).alias("common"), F.count(F.lit(1)).alias("rows"))
+        sets_ = sets_.join(self.named, ["rep", "twin"]).withColumn("own", F.greatest(F.col("n") - F.col("rows"), F.lit(0)))
         prefix = F.col("n") - F.ceil(ABOVE * F.col("n") / OF) + 1
         sets_ = sets_.withColumn("room", (prefix - F.col("own")).cast("int")).where("room > 0")
-        rows = sets_.select("rep", "n", "own", F.posexplode(F.slice("common", F.lit(1), F.col("room"))).alias("place", "of"))
+        rows = sets_.select("rep", "n", "own", F.posexplode(F.slice("common", F.lit(1), F.col("room"))).alias("place", "gram"))
         packed = F.shiftleft("n", 32).bitwiseOR(F.col("own") + F.col("place")).alias("n_at")
-        rows = materialize(rows.select(F.col("of.gram").alias("gram"), "rep", "own", packed), "ngram-prefixes")
+        rows = materialize(rows.select("gram", "rep", "own", packed), "ngram-prefixes")
         # combined before the shuffle, so a group of any size has its lead without lying in one task
         lead = F.min_by(F.struct("rep", "n_at"), F.struct("own", "rep")).alias("lead")
         leads = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("rows"), lead).where("rows > 1")
