@@ -293,7 +293,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without those that a smaller id of their component stands for."""
+    """The rows of ``docs``, all columns, without those that a smaller id of their component stands for.
+
+    Null and empty texts stay, and so do rows whose id is null.  All rows of an
+    id stay or go together.  Other columns pass through, whatever their names;
+    an empty table gives no rows.
+    """
     drop = similar_documents(docs).where("component_id < doc_id or component_id is null and doc_id is not null")
     drop = materialize(drop.select(F.col("doc_id").alias("__id")).distinct(), "ngram-drop")
     return docs.join(small_side(drop), docs["doc_id"] == drop["__id"], "left_anti")
