@@ -217,3 +217,45 @@ def test_plan_places_every_piece_once(histogram):
 def test_exact_complements_come_first():
     plan = packing.make_plan({30: 2, 10: 1, 6: 1, 4: 1, 25: 1, 9: 1, 3: 1, 2: 1, 1: 1}, 40)
     assert plan.sequences == 3
+
+
+def scanned(left, gap, held):
+    """Whether one, two or three lengths fill the gap, by trying all."""
+    free = left.copy()
+    free[held] -= 1
+    some = [x for x in range(1, len(left)) if free[x] > 0]
+    parts = [(a,) for a in some] + [(a, b) for a in some for b in some if a >= b] + [(a, b, c) for a in some for b in some for c in some if a >= b >= c]
+    return any(sum(p) == gap and all(free[x] >= p.count(x) for x in p) for p in parts)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 19), st.integers(1, 3), min_size=1, max_size=12), st.randoms())
+def test_index_of_sums_misses_nothing_as_counts_fall(histogram, rng):
+    left = np.zeros(21, np.int64)
+    for length, n in histogram.items():
+        left[length] = n
+    sums = packing.Sums(left)
+    while left.any():
+        held = rng.choice(np.flatnonzero(left).tolist())
+        for gap in range(1, 20):
+            parts = sums.complement(gap, held)
+            assert (parts is not None) == scanned(left, gap, held)
+            assert parts is None or (sum(parts) == gap and all(left[x] >= (*parts, held).count(x) for x in (*parts, held)))
+        left[rng.choice(np.flatnonzero(left).tolist())] -= 1
+
+
+def test_exact_fills_of_a_plan_come_from_the_index(monkeypatch):
+    seen = []
+    complement = packing.Sums.complement
+
+    def noted(self, gap, *held):
+        parts = complement(self, gap, *held)
+        seen.append(parts and (*held, *parts))
+        return parts
+
+    monkeypatch.setattr(packing.Sums, "complement", noted)
+    rng = random.Random(3)
+    plan = packing.make_plan({rng.randrange(1, 2048): rng.randrange(1, 9) for _ in range(900)}, 2048)
+    found = [p for p in seen if p]
+    assert found and all(sum(p) == 2048 and len(p) <= 4 for p in found)
+    assert not plan.left.any()

@@ -24,11 +24,16 @@ import numpy as np
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space for ``str.split`` alone.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-DOUBLE = re.compile(f"[{SPACE}] ")
+DOUBLE = re.compile(f" (?<=[{SPACE}] )")
 #: White space at the edge of a piece or of several joined by a space, or a separator anywhere.
 ODD = re.compile(f"^[{SPACE}]|[{SPACE}]$|[{SPACE}] | [{SPACE}]|[\x1c-\x1f]")
 #: Latin letters but U+0130: NFC and lower-casing leave each one letter; others may end in a combining mark, which joins the punctuation.
-MARK = re.compile("(?<=[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f])([.,])(?= )")
+LATIN = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
+MARK = re.compile(f"(?<=[{LATIN}])([.,])(?= )")
+#: Begins a piece that follows the one before without a space.
+JOINED = "\x1c"
+#: Where a word may be cut: before a mark that ends it, and before a line's end.
+BORDER = re.compile(f"[.,\n](?:(?<=[{LATIN}][.,])(?=[ \n])|(?<=[^{SPACE}]\n))")
 RUNS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Pieces that a worker keeps; beyond it, it starts anew.
 MEMO = 450_000
@@ -39,14 +44,15 @@ Split = Callable[[str], tuple[list[str], list[str]]]
 
 
 def by_spaces(text: str) -> tuple[list[str], list[str]]:
-    """Pieces that stand as they are, then words that follow a single space.
+    """Pieces that stand as they are, then words that follow a single space, or nothing where they begin with ``JOINED``.
 
     A cut lies between a visible character and white space, where no token of
-    the pattern reaches across.
+    the pattern reaches across, or between a letter and a single mark before
+    white space, which are two tokens; so words repeat more often.
     """
-    if DOUBLE.search(text):
+    if JOINED in text or DOUBLE.search(text):
         return RUNS.findall(text), []
-    first, *rest = text.split(" ")
+    first, *rest = BORDER.sub(f" {JOINED}\\g<0>", text).split(" ")
     return ([first] if first else []), rest
 
 
@@ -73,14 +79,15 @@ def by_punctuation(text: str) -> tuple[list[str], list[str]]:
 
 
 class Memo:
-    """Ids of pieces; when full, it keeps those that came up again."""
+    """Ids of pieces; when full, it keeps those that came up again since it was half full."""
 
     def __init__(self, limit: int = MEMO):
         self.limit, self.ids, self.again = limit, {}, set()
 
     def missing(self, pieces: set[str]) -> list[str]:
         new = pieces.difference(self.ids)
-        self.again |= pieces - new
+        if 2 * len(self.ids) > self.limit:
+            self.again |= pieces - new
         if self.ids and len(self.ids) + len(new) > self.limit:
             self.ids = {p: self.ids[p] for p in self.again if p in self.ids} if len(self.again) < self.limit // 2 else {}
             self.again = set()
@@ -116,7 +123,7 @@ class Encoder:
 
     def _together(self, pieces: list[str], prefix: str) -> list[bytes]:
         """Many words in one call; the bytes that each id stands for tell where a word's ids end."""
-        texts = [prefix + " ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        texts = [prefix + (prefix or " ").join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
         out: list[bytes] = []
         for i, found in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             words = pieces[i * TOGETHER : (i + 1) * TOGETHER]
@@ -133,17 +140,28 @@ class Encoder:
                 out += self._library([prefix + w for w in words])
         return out
 
+    def _words(self, words: list[str], prefix: str) -> list[bytes]:
+        """Ids of each word after the prefix; words with white space or special strings are encoded one by one."""
+        whole = " ".join(words)
+        if not ODD.search(whole) and not any(x in whole for x in self.special):
+            return self._together(words, prefix)
+        odd = {w for w in words if not w or ODD.search(w) or any(x in w for x in self.special)}
+        apart = iter(self._library([prefix + w for w in words if w in odd]))
+        plain = iter(self._together([w for w in words if w not in odd], prefix))
+        return [next(apart if w in odd else plain) for w in words]
+
     def _learn(self, known: Memo, pieces: set[str], prefix: str) -> None:
         new = known.missing(pieces)
         if not (prefix or self.lowers):
             known.ids.update(zip(new, self._library(new), strict=True))
             return
-        whole = " ".join(new)
-        if ODD.search(whole) or any(x in whole for x in self.special):
-            apart = [p for p in new if not p or ODD.search(p) or any(x in p for x in self.special)]
-            known.ids.update(zip(apart, self._library([prefix + p for p in apart]), strict=True))
-            new = [p for p in new if p not in known.ids]
-        known.ids.update(zip(new, self._together(new, prefix), strict=True))
+        joined = [p for p in new if p.startswith(JOINED)] if prefix else []
+        lines = [p for p in joined if p.startswith("\n", 1)]
+        marks = [p for p in joined if not p.startswith("\n", 1)]
+        words = [p for p in new if not p.startswith(JOINED)] if joined else new
+        known.ids.update(zip(lines, self._words([p[2:] for p in lines], "\n"), strict=True))
+        known.ids.update(zip(marks, self._library([p[1:] for p in marks]), strict=True))
+        known.ids.update(zip(words, self._words(words, prefix), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.split is None:

@@ -57,29 +57,58 @@ class Plan:
         self.sequences += count
 
 
-def pair_for(left: np.ndarray, gap: int) -> tuple[int, int] | None:
-    """Two available lengths that sum to ``gap``, the most uneven pair first."""
-    if gap < 2:
+class Sums:
+    """Index from a sum to the single lengths, pairs and triples of lengths that give it, under the counts ``left``.
+
+    Pairs are listed by their sum, the most uneven first.  A triple is a first
+    length, largest first, with an entry of the pairs' list for the rest, so
+    triples take no memory of their own.  Counts only fall: what is used up
+    never comes back, and each list has a place before which all is used up.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        self.lengths = np.flatnonzero(left)[::-1]
+        self.pairs = [self._pairs(total) for total in range(len(left))]
+        self.pair_at, self.triple_at = [0] * len(left), [0] * len(left)
+        self.firsts = self.lengths.tolist()
+
+    def _pairs(self, total: int) -> list[int]:
+        """The larger parts of the pairs with this sum."""
+        large = self.lengths[(self.lengths < total) & (2 * self.lengths >= total)]
+        return large[self.left[total - large] > 0].tolist()
+
+    def free(self, *parts: int) -> bool:
+        return all(self.left[x] >= parts.count(x) for x in parts)
+
+    def pair(self, total: int, *held: int) -> tuple[int, int] | None:
+        """The first free pair while pieces of the lengths ``held`` are taken."""
+        if total < 2:
+            return None
+        found, at = self.pairs[total], self.pair_at[total]
+        while at < len(found) and not self.free(found[at], total - found[at]):
+            at += 1
+        self.pair_at[total] = at
+        for k in range(at, len(found)):
+            if self.free(found[k], total - found[k], *held):
+                return found[k], total - found[k]
         return None
-    large = np.arange(gap - 1, (gap - 1) // 2, -1)
-    small = gap - large
-    fits = np.flatnonzero((left[large] > 0) & (left[small] > (large == small)))
-    return (int(large[fits[0]]), int(small[fits[0]])) if len(fits) else None
-
-
-def complement(left: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that fill a gap exactly."""
-    if gap and left[gap]:
-        return (gap,)
-    if pair := pair_for(left, gap):
-        return pair
-    for a in np.flatnonzero(left[: max(gap - 1, 0)])[::-1].tolist():
-        left[a] -= 1
-        pair = pair_for(left, gap - a)
-        left[a] += 1
-        if pair:
-            return (a, *pair)
-    return None
+
+    def triple(self, total: int, *held: int) -> tuple[int, int, int] | None:
+        at = self.triple_at[total]
+        while at < len(self.firsts) and not (self.left[self.firsts[at]] and self.pair(total - self.firsts[at], self.firsts[at])):
+            at += 1
+        self.triple_at[total] = at
+        for first in self.firsts[at:]:
+            if first < total - 1 and self.free(first, *held) and (pair := self.pair(total - first, first, *held)):
+                return (first, *pair)
+        return None
+
+    def complement(self, gap: int, *held: int) -> tuple[int, ...] | None:
+        """One, two or three free lengths that fill a gap exactly."""
+        if gap and self.left[gap] and self.free(gap, *held):
+            return (gap,)
+        return self.pair(gap, *held) or self.triple(gap, *held)
 
 
 def make_plan(histogram: dict[int, int], capacity: int) -> Plan:
@@ -90,13 +119,9 @@ def make_plan(histogram: dict[int, int], capacity: int) -> Plan:
     plan = Plan(capacity, left)
     if left[capacity]:
         plan.fill((capacity,))
+    sums = Sums(left)
     for length in range(capacity - 1, 0, -1):
-        while left[length]:
-            left[length] -= 1
-            parts = complement(left, capacity - length)
-            left[length] += 1
-            if not parts:
-                break
+        while left[length] and (parts := sums.complement(capacity - length, length)):
             plan.fill((length, *parts))
     open_bins: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
     for length in range(capacity - 1, 0, -1):
