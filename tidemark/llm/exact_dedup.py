@@ -26,9 +26,9 @@ def exact_groups(
 ) -> DataFrame:
     """Groups of at least two rows with identical text: ``d, s, keep_id, group_size, texts[, text]``.
 
-    Rows are grouped by digest first, so that only texts whose digest repeats
-    are shuffled at all; these are then grouped by the text itself, which
-    compares bytes.  Both aggregates combine before the shuffle: a group that
+    Rows are grouped by digest first; texts are then shuffled once by digest to
+    find those whose digest repeats, and only these are grouped by the text
+    itself, which compares bytes.  Both aggregates combine before the shuffle: a group that
     holds a third of the table arrives as one row per task.  ``texts`` counts
     the different texts behind one pair of digests, and ``text`` is kept only
     where it is above one.
