@@ -216,3 +216,52 @@ def test_earlier_loads_and_compaction(spark, tmp_path):
     store.compact()
     assert rows(store.read().select(*KEY)) == rows(load(spark, STEPS).select(*KEY))
     assert rows(store.closed().select("id")) == rows(store.read().where(f"{SPEC.current} = 'N'").select("id"))
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_digests_are_not_staged_and_shuffled_as_bytes(spark, monkeypatch, compat):
+    from tidemark import session
+
+    monkeypatch.setattr(scd2, "fits_broadcast", lambda df: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dim = load(spark, changes(2)[:3], compat)
+        before = len(session._HANDED_OUT)
+        out = scd2.apply(dim, batch(spark, {1: "z", 99: "y"}, date(2024, 9, 1)), SPEC, compat)
+        assert "hashpartitioning(Hash_Join_key" not in plan(out) and "hashpartitioning(_key" in plan(out)
+        staged = [p for p in session._HANDED_OUT[before:] if "/scd2-" in p]
+        assert len(staged) == 2
+        for path in staged:
+            assert not {SPEC.hash_key, SPEC.checksum} & set(spark.read.parquet(path).columns)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("compat", [False, True])
+@pytest.mark.parametrize("fits", [True, False])
+def test_foreign_digests_stay_as_they_are(spark, monkeypatch, fits, compat):
+    """A stored digest that no batch row can have is kept as text; its key, or its state, is unknown."""
+    monkeypatch.setattr(scd2, "fits_broadcast", lambda df: fits)
+    dim = load(spark, [{i: "a" for i in range(6)}])
+    key, state = F.col(SPEC.hash_key), F.col(SPEC.checksum)
+    nth = F.col("id")
+    foreign = dim.withColumns({
+        SPEC.hash_key: F.when(nth == 1, F.upper(key)).when(nth == 2, "no hex").when(nth == 3, None).otherwise(key),
+        SPEC.checksum: F.when(nth == 4, F.upper(state)).when(nth == 5, "no hex").otherwise(state),
+    })
+    kept = {r["id"]: (r[SPEC.hash_key], r[SPEC.checksum]) for r in foreign.collect()}
+    out = scd2.apply(foreign, batch(spark, {i: "a" for i in range(6)}, date(2024, 6, 1)), SPEC, compat).collect()
+    old = [r for r in out if r[ACTION] in ("kept", "closed")]
+    assert {r["id"]: (r[SPEC.hash_key], r[SPEC.checksum]) for r in old} == kept and len(old) == 6
+    actions = {i: sorted(r[ACTION] for r in out if r["id"] == i) for i in range(6)}
+    assert actions == {0: ["kept"], **{i: ["kept", "new_key"] for i in (1, 2, 3)}, **{i: ["closed", "new_version"] for i in (4, 5)}}
+
+
+@pytest.mark.parametrize("compat", [False, True])
+@pytest.mark.parametrize("fits", [True, False])
+def test_key_with_closed_versions_only(spark, monkeypatch, fits, compat):
+    monkeypatch.setattr(scd2, "fits_broadcast", lambda df: fits)
+    dim = load(spark, [{1: "a", 2: "a"}]).withColumn(SPEC.current, F.when(F.col("id") == 1, "N"))
+    out = scd2.apply(dim, batch(spark, {1: "a", 2: "a", 3: "a"}, date(2024, 6, 1)), SPEC, compat)
+    new = rows(out.where(f"{ACTION} <> 'kept'").select("id", ACTION))
+    assert new == ([(3, "new_key")] if compat else [(1, "new_version"), (2, "new_version"), (3, "new_key")])

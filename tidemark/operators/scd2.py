@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import differs
@@ -46,7 +46,14 @@ class Scd2Spec:
 
 def prepare(batch: DataFrame, spec: Scd2Spec) -> DataFrame:
     """Batch rows with hash key and checksum, ready to be versions."""
-    rows = batch.select(*spec.keys, *spec.tracked, F.col(spec.start).cast("date").alias(spec.start))
+    return _hashed(_plain(batch, spec), spec)
+
+
+def _plain(batch: DataFrame, spec: Scd2Spec) -> DataFrame:
+    return batch.select(*spec.keys, *spec.tracked, F.col(spec.start).cast("date").alias(spec.start))
+
+
+def _hashed(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
     return rows.withColumns(
         {
             spec.hash_key: hash_key(rows, spec.keys),
@@ -55,6 +62,21 @@ def prepare(batch: DataFrame, spec: Scd2Spec) -> DataFrame:
     )
 
 
+def _fits(rows: DataFrame, spec: Scd2Spec) -> bool:
+    """Whether the batch may be broadcast; the hashes it gets later have fixed lengths."""
+    return fits_broadcast(rows.withColumns({spec.hash_key: F.lit("-" * 32), spec.checksum: F.lit("-" * 64)}))
+
+
+def _packed(digest: str) -> Column:
+    """A digest's bytes, half as long as its text; null where the text is not lower-case hex, as no batch row's is."""
+    value = F.unhex(digest)
+    return F.when(F.lower(F.hex(value)) == F.col(digest), value)
+
+
+def _text(packed: str, other: str) -> Column:
+    return F.coalesce(F.lower(F.hex(packed)), F.col(other))
+
+
 def _open_end(spec: Scd2Spec):
     return F.lit(spec.open_end).cast("date")
 
@@ -79,26 +101,23 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     Only current rows are joined; closed history passes through.  Surrogate
     keys continue the dimension's highest one, in key order, without gaps.
 
-    The hashed batch and the rows to insert are written to the shared folder
-    first: the batch is read once from its source, and later steps do not
-    repeat the comparison with the dimension.
+    The batch and the rows to insert are written to the shared folder first:
+    the batch is read once from its source, and later steps do not repeat the
+    comparison with the dimension.  Both are written and numbered without
+    their hashes, and hashes are shuffled as bytes: as text they are most of a
+    row and hardly compress.
     """
-    match = [spec.hash_key]
-    new = materialize(prepare(batch, spec), "scd2-batch")
+    rows = materialize(_plain(batch, spec), "scd2-batch")
     if dim is None:
-        fresh = new.withColumn(ACTION, F.lit("new_key"))
-        return _as_dimension(_open_versions(fresh, None, spec), spec)
-    small = fits_broadcast(new)
-    side = F.broadcast if small else (lambda df: df)
+        return _as_dimension(_open_versions(rows.withColumn(ACTION, F.lit("new_key")), None, spec), spec)
+    new = _hashed(rows, spec)
+    small = _fits(rows, spec)
     is_current = F.col(spec.current) == "Y"
     current = dim.where(is_current)
     history = dim.where(~F.coalesce(is_current, F.lit(False)))
 
-    incoming = new.select(
-        *match, F.col(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start")
-    )
-    compared = current.join(side(incoming), match, "left")
-    changed = F.col("_new_checksum").isNotNull() & differs(F.col("_new_checksum"), F.col(spec.checksum))
+    compared = (_compared_small if small else _compared)(current, new, spec)
+    changed = F.col("_new_checksum").isNotNull() & differs(F.col("_new_checksum"), F.col("_checksum"))
     day_before = F.date_sub("_new_start", 1)
     updated = compared.select(
         *[c for c in spec.columns if c not in (spec.end, spec.current)],
@@ -108,12 +127,36 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     )
     passed = history.select(*spec.columns, F.lit("kept").alias(ACTION))
 
-    fresh = materialize(_unknown_rows(dim, new, spec, small, compat), "scd2-fresh")
+    unknown = _unknown_rows_small(dim, new, spec, compat) if small else _unknown_rows(current, history, new, spec, compat)
+    fresh = materialize(unknown.select(*rows.columns, ACTION), "scd2-fresh")
     inserted = _open_versions(fresh, dim, spec)
     return _as_dimension(updated, spec).unionByName(_as_dimension(passed, spec)).unionByName(_as_dimension(inserted, spec))
 
 
-def _unknown_rows(dim: DataFrame, new: DataFrame, spec: Scd2Spec, small: bool, compat: bool) -> DataFrame:
+def _compared_small(current: DataFrame, new: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Current rows, each with ``_checksum`` and its batch row's ``_new_checksum`` and ``_new_start``."""
+    incoming = new.select(spec.hash_key, F.col(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start"))
+    return current.join(F.broadcast(incoming), spec.hash_key, "left").withColumn("_checksum", F.col(spec.checksum))
+
+
+def _compared(current: DataFrame, new: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """The same by a shuffle, in which digests go as bytes; a digest that is no hex goes as it is and matches nothing."""
+    digests = (spec.hash_key, spec.checksum)
+    packed = current.select(
+        *[c for c in spec.columns if c not in digests],
+        _packed(spec.hash_key).alias("_key"),
+        F.when(_packed(spec.hash_key).isNull(), F.col(spec.hash_key)).alias("_other_key"),
+        _packed(spec.checksum).alias("_checksum"),
+        F.when(_packed(spec.checksum).isNull(), F.col(spec.checksum)).alias("_other_checksum"),
+    )
+    incoming = new.select(
+        F.unhex(spec.hash_key).alias("_key"), F.unhex(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start")
+    )
+    texts = {spec.hash_key: _text("_key", "_other_key"), spec.checksum: _text("_checksum", "_other_checksum")}
+    return packed.join(incoming, "_key", "left").withColumns(texts)
+
+
+def _unknown_rows_small(dim: DataFrame, new: DataFrame, spec: Scd2Spec, compat: bool) -> DataFrame:
     """Batch rows that open a version, marked ``new_key`` or ``new_version``.
 
     Reads key, checksum and flag of the dimension only, and reduces long
@@ -122,32 +165,47 @@ def _unknown_rows(dim: DataFrame, new: DataFrame, spec: Scd2Spec, small: bool, c
     match = [spec.hash_key]
     rows = dim.select(*match, spec.checksum, spec.current)
     is_live = F.lit(True) if compat else F.coalesce(F.col(spec.current) == "Y", F.lit(False))
-    if small:
-        incoming = F.broadcast(new.select(*match, F.col(spec.checksum).alias("_new_checksum")))
-        same = is_live & (F.col(spec.checksum) == F.col("_new_checksum"))
-        state = rows.join(incoming, match, "inner").groupBy(*match).agg(F.bool_or(same).alias("_same"))
-        fresh = new.join(state, match, "left").where("NOT coalesce(_same, false)")
-        seen = F.col("_same").isNotNull()
-        return fresh.withColumn(ACTION, F.when(seen, "new_version").otherwise("new_key")).drop("_same")
-    known = rows.where(is_live).select(*match, spec.checksum)
-    if compat:
-        known = known.distinct()
-    seen = rows.select(*match).distinct().withColumn("_seen", F.lit(True))
-    fresh = new.join(known, [*match, spec.checksum], "left_anti").join(seen, match, "left")
-    return fresh.withColumn(ACTION, F.when(F.col("_seen"), "new_version").otherwise("new_key")).drop("_seen")
+    incoming = F.broadcast(new.select(*match, F.col(spec.checksum).alias("_new_checksum")))
+    same = is_live & (F.col(spec.checksum) == F.col("_new_checksum"))
+    state = rows.join(incoming, match, "inner").groupBy(*match).agg(F.bool_or(same).alias("_same"))
+    fresh = new.join(state, match, "left").where("NOT coalesce(_same, false)")
+    seen = F.col("_same").isNotNull()
+    return fresh.withColumn(ACTION, F.when(seen, "new_version").otherwise("new_key")).drop("_same")
+
+
+def _unknown_rows(current: DataFrame, history: DataFrame, new: DataFrame, spec: Scd2Spec, compat: bool) -> DataFrame:
+    """The same for a batch too large to broadcast.
+
+    Key and checksum of current rows meet the batch in one shuffle by key, as
+    bytes.  Long histories are reduced before: to one row per key, with
+    ``compat`` to one per state.  Two windows over the same order tell each
+    batch row whether its key and its state are there.
+    """
+    key, state = _packed(spec.hash_key).alias("_key"), _packed(spec.checksum).alias("_state")
+    earlier = history.select(key, state if compat else F.lit(None).cast("binary").alias("_state")).distinct()
+    stored = current.select(key, state).unionByName(earlier).where("_key IS NOT NULL").withColumn("_stored", F.lit(True))
+    incoming = new.withColumns(
+        {"_key": F.unhex(spec.hash_key), "_state": F.unhex(spec.checksum), "_stored": F.lit(False)}
+    )
+    met = incoming.drop(spec.hash_key, spec.checksum).unionByName(stored, allowMissingColumns=True)
+    known = F.max("_stored").over(Window.partitionBy("_key", "_state"))
+    seen = F.max("_stored").over(Window.partitionBy("_key"))
+    fresh = met.withColumn("_known", known).withColumn("_seen", seen).where("NOT _stored AND NOT _known")
+    return fresh.withColumn(ACTION, F.when(F.col("_seen"), "new_version").otherwise("new_key"))
 
 
 def _open_versions(fresh: DataFrame, dim: DataFrame | None, spec: Scd2Spec) -> DataFrame:
+    """``fresh`` as current versions; numbered before it gets its hashes, which need no sorting."""
+    base = max_key(dim, spec.surrogate, FIRST_SURROGATE)
+    numbered = number_rows(fresh, list(spec.keys), spec.surrogate, base, written=True)  # both callers have written ``fresh``
     first = F.lit(spec.first_start).cast("date")
-    opened = fresh.withColumns(
+    return _hashed(numbered, spec).withColumns(
         {
             spec.start: F.when(F.col(ACTION) == "new_key", first).otherwise(F.col(spec.start)),
             spec.end: _open_end(spec),
             spec.current: F.lit("Y"),
         }
     )
-    base = max_key(dim, spec.surrogate, FIRST_SURROGATE)
-    return number_rows(opened, list(spec.keys), spec.surrogate, base, written=True)  # both callers have written ``fresh``
 
 
 def rebuild(versions: DataFrame, spec: Scd2Spec, sample_from: DataFrame | None = None) -> DataFrame:

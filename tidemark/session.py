@@ -52,10 +52,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def materialize(df, label: str):
-    """Cut lineage through a written table; survives the loss of executors."""
+def materialize(df, label: str, compression: str | None = None):
+    """Cut lineage through a written table; survives the loss of executors.
+
+    ``compression`` is Parquet's codec (default: the session's); zstd halves digests in hex, which snappy leaves as they are.
+    """
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -21,7 +21,7 @@ def _dated(batch, day: str):
 def first_dimension(spark, d):
     """The dimension as the first load wrote it; the next load reads that table."""
     dim = scd2.apply(None, _dated(target_orders(spark, d), "2024-01-01"), ORDER_DIM).drop(ACTION)
-    return materialize(dim, "order-dim")
+    return materialize(dim, "order-dim", "zstd")
 
 
 def _second(spark, d):
@@ -31,7 +31,7 @@ def _second(spark, d):
 def _three_batches(spark, d, compat: bool):
     first = first_dimension(spark, d)
     second = scd2.apply(first, _dated(batch_one(spark, d), "2024-02-01"), ORDER_DIM, compat)
-    dim = materialize(second.drop(ACTION), "order-dim")
+    dim = materialize(second.drop(ACTION), "order-dim", "zstd")
     return scd2.apply(dim, _dated(batch_two(spark, d), "2024-03-01"), ORDER_DIM, compat).drop(ACTION)
 
 
