@@ -27,12 +27,12 @@ SAMPLED_ROWS_PER_BUCKET = 16
 FAN = 64
 
 
-RANGE = "_range"
+RANGE = "_range_bucket"
 COARSE_BITS = 32
 
 
 def ranged(df: DataFrame, order_by: list[str], written: bool = False) -> DataFrame | None:
-    """``df`` with ``_range``, a number that rises with ``order_by`` (nulls first); None if one task can sort all.
+    """``df`` with ``_range_bucket``, a number that rises with ``order_by`` (nulls first); None if one task can sort all.
 
     One range holds what one task should sort.  Rows are cut in two
     levels: coarse ranges, the square root of all of them, by points that the
@@ -50,10 +50,10 @@ def ranged(df: DataFrame, order_by: list[str], written: bool = False) -> DataFra
     fine = ceil(buckets / coarse)
     key = F.struct(*[F.col(c).alias(c) for c in order_by])
     keys = rows.select(key.alias("_key"))
-    firsts = F.broadcast(_coarse_points(keys, coarse, total))
+    firsts = _coarse_points(keys, coarse, total).scalar().alias("_firsts")
     number = _bisect(F.col("_firsts"), F.col("_key"), coarse).alias("_coarse")
-    named = rows.withColumn("_key", key).crossJoin(firsts).select(*rows.columns, "_key", number)
-    cuts = _fine_points(keys.crossJoin(firsts).select("_key", number), fine, buckets, total)
+    named = rows.select(*rows.columns, key.alias("_key"), firsts).select(*rows.columns, "_key", number)
+    cuts = _fine_points(keys.select("_key", firsts).select("_key", number), fine, buckets, total)
     cuts = materialize(cuts, "range-points")
     met = named.join(F.broadcast(cuts) if fits_broadcast(cuts) else cuts, "_coarse", "left")
     at = F.coalesce(_bisect(F.col("_cuts"), F.col("_key"), fine), F.lit(0))
@@ -91,7 +91,7 @@ def _bisect(points: Column, key: Column, most: int) -> Column:
 
 
 def running(totals: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """``_range`` and the sums of ``columns`` (``{column: alias}``) over the ranges before it.
+    """``_range_bucket`` and the sums of ``columns`` (``{column: alias}``) over the ranges before it.
 
     ``totals`` has one row per range.  Coarse ranges are summed up first, so
     no task sees more than about the square root of all ranges.  The sums are
