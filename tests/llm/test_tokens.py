@@ -43,6 +43,28 @@ def test_letters_that_normalize_to_a_mark_before_punctuation(path):
     assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
 
 
+def test_letters_in_any_case_are_encoded_as_the_library_does():
+    plain, ours = Tokenizer.from_file(WORD_BPE), encoder.Encoder(encoder.load(WORD_BPE))
+    letters = [chr(c) for c in range(0x41, 0x300) if chr(c).isalpha()]
+    texts = [f"{a}b{c} {c}{a}!! {c.lower()}x.\n{c.upper()} {c}'S, {c}" for a, c in zip(letters, letters[7:] + letters[:7], strict=True)]
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts += [f"{c}{m} {c.upper()}{m}x. Y{m}, X" for c in "abhijktwyABHIJKTWY" for m in marks] + [f"A{chr(c)}B.{chr(c)} C!{chr(c)}" for c in range(0x2000, 0x2070)]
+    texts += ["a<|ENDOFTEXT|>B. c", "A <|EndOfText|>, <|endoftext|>X!! Y.", "a'S. it'LL!' x'.", "A.'B ('C)! don'T?\n", "\u212aelvin \u212bX. K"]
+    want = [x.ids for x in plain.encode_batch_fast(texts, add_special_tokens=False)]
+    got = [np.frombuffer(raw, ours.dtype).tolist() for raw in ours.encode(texts)]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
+def test_forms_of_a_word_are_encoded_once():
+    """Case and the marks after a word do not make it a new piece, and a word of letters takes no whole-text call."""
+    ours = encoder.Encoder(encoder.load(WORD_BPE))
+    calls = []
+    ours._spaced = lambda words, prefix: calls.append(words) or encoder.Encoder._spaced(ours, words, prefix)
+    ours.encode(["River river! RIVER,\nriver?! River.", "Élan élan; ÉLAN... (élan)"])
+    assert sorted(ours.alone.ids) == sorted(["river", "élan", "(élan", ")", "!", ",", "?!", ".", ";", "..."])
+    assert not [w for words in calls for w in words if w.isalpha()]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=5))
 def test_any_text(texts):

@@ -14,8 +14,9 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Callable
-from itertools import pairwise
+from collections.abc import Callable, Sequence
+from functools import partial
+from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -30,6 +31,11 @@ ODD = re.compile(f"^[{SPACE}]|[{SPACE}]$|[{SPACE}] | [{SPACE}]|[\x1c-\x1f]")
 #: Latin letters but U+0130: NFC and lower-casing leave each one letter; others may end in a combining mark, which joins the punctuation.
 LATIN = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u024f"
 MARK = re.compile(f"(?<=[{LATIN}])([.,])(?= )")
+#: Marks between such a letter and white space or the end; no apostrophe, which may take letters to it.
+ENDS = re.compile(f"[!-&(-/:-@\\[-`{{-~](?<=[{LATIN}].)[!-&(-/:-@\\[-`{{-~]*(?=[ \n]|\\Z)")
+#: A text without these is the same to the library in lower case: NFC changes none of the rest, and ``lower`` each by itself.
+OTHER = re.compile(f"[^\x00-\x7f{LATIN}\x80-\xbf\xd7\xf7\u2010-\u2027]")
+LETTERS = re.compile(f"[{LATIN}]+")
 #: Begins a piece that follows the one before without a space.
 JOINED = "\x1c"
 #: Where a word may be cut: before a mark that ends it, and before a line's end.
@@ -65,17 +71,39 @@ def splitter(spec: dict) -> Split | None:
     parts = before.get("pretokenizers", [{}])
     drops = parts[0].get("type") == "Split" and parts[0].get("behavior") == "Removed" and parts[0].get("invert")
     if steps == ["NFC", "Replace", "Lowercase"] and drops and "[^\\s" in str((parts[0].get("pattern") or {}).get("Regex")):
-        return by_punctuation
+        return partial(by_punctuation, special=[t["content"] for t in spec.get("added_tokens", [])])
     return None
 
 
-def by_punctuation(text: str) -> tuple[list[str], list[str]]:
-    """Words, since white space is dropped; a comma or full stop that ends a word stands apart, so that words repeat more often.
+def byte_letters(spec: dict) -> dict[int, str] | None:
+    """For ``str.translate``: Latin letters in lower case to the characters that stand for their bytes; None: the model takes others."""
+    parts, model = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}]), spec["model"]
+    last = parts[-1]
+    plain = len(parts) == 2 and last.get("type") == "ByteLevel" and not last.get("use_regex") and not last.get("add_prefix_space")
+    special = any(LETTERS.fullmatch(t["content"]) for t in spec.get("added_tokens", []))
+    if not plain or special or model.get("type") != "BPE" or model.get("dropout"):
+        return None
+    from tokenizers.pre_tokenizers import ByteLevel
 
-    Only a single mark between a letter that stays one and a space is set apart,
-    which is a token border of the pattern anyway.
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    letters = {c.lower() for c in map(chr, range(0x250)) if LETTERS.fullmatch(c)}
+    return {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
+
+
+def by_punctuation(text: str, special: Sequence[str] = ()) -> tuple[list[str], list[str]]:
+    """Words, since white space is dropped; in lower case and with the marks that end them apart, so that they repeat more often.
+
+    Only marks between a letter that stays one and white space are set apart,
+    which are a token of the pattern anyway.  A text that may have a special
+    string, in any case of letters, keeps its case and has only single commas
+    and full stops set apart.
     """
-    return ([text], []) if SEPARATORS.search(text) else (MARK.sub(r" \1", text).split(), [])
+    if SEPARATORS.search(text):
+        return [text], []
+    shown = text if OTHER.search(text) else text.lower()
+    if any(x in shown or x.lower() in shown for x in special):
+        return MARK.sub(r" \1", text).split(), []
+    return ENDS.sub(r" \g<0>", shown).split(), []
 
 
 class Memo:
@@ -116,6 +144,7 @@ class Encoder:
         for token, i in vocabulary.items():  # a byte-level token has a character for each byte
             self.widths[i] = len(token.removesuffix(self.end) if self.end else token)
         self.alone, self.spaced = Memo(), Memo()
+        self.bytes_of = byte_letters(spec) if self.split and self.lowers else None
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -141,7 +170,25 @@ class Encoder:
         return out
 
     def _words(self, words: list[str], prefix: str) -> list[bytes]:
-        """Ids of each word after the prefix; words with white space or special strings are encoded one by one."""
+        """Ids of each word after the prefix."""
+        if self.bytes_of and not prefix:
+            letters = {w for w in words if w.isalpha() and LETTERS.fullmatch(w)}
+            if letters:
+                known = self._letters(list(letters))
+                known.update(zip(rest := [w for w in words if w not in letters], self._spaced(rest, prefix), strict=True))
+                return [known[w] for w in words]
+        return self._spaced(words, prefix)
+
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of Latin letters alone are one token of the pattern, so the library's model takes them as they are."""
+        model, size = self.tokenizer.model, self.dtype.itemsize
+        found = [[t.id for t in model.tokenize(w.lower().translate(self.bytes_of))] for w in words]
+        raw = np.fromiter(chain.from_iterable(found), self.dtype).tobytes()
+        bounds = [0, *(size * x for x in accumulate(map(len, found)))]
+        return {w: raw[a:b] for w, (a, b) in zip(words, pairwise(bounds), strict=True)}
+
+    def _spaced(self, words: list[str], prefix: str) -> list[bytes]:
+        """The same by whole texts, many words in one; empty words and those with white space or special strings alone."""
         whole = " ".join(words)
         if not ODD.search(whole) and not any(x in whole for x in self.special):
             return self._together(words, prefix)
