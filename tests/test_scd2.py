@@ -265,3 +265,47 @@ def test_key_with_closed_versions_only(spark, monkeypatch, fits, compat):
     out = scd2.apply(dim, batch(spark, {1: "a", 2: "a", 3: "a"}, date(2024, 6, 1)), SPEC, compat)
     new = rows(out.where(f"{ACTION} <> 'kept'").select("id", ACTION))
     assert new == ([(3, "new_key")] if compat else [(1, "new_version"), (2, "new_version"), (3, "new_key")])
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_rows_are_shuffled_and_stored_without_their_own_digests(spark, monkeypatch, compat):
+    """Large batches: a shuffled row has no checksum that its columns give; a written dimension has no digest of that kind."""
+    monkeypatch.setattr(scd2, "fits_broadcast", lambda df: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dim = load(spark, [{i: "a" for i in range(40)}])
+        key, state = F.col(SPEC.hash_key), F.col(SPEC.checksum)
+        odd = dim.withColumns({
+            SPEC.hash_key: F.when(F.col("id") == 1, None).when(F.col("id") == 2, "no hex").otherwise(key),
+            SPEC.checksum: F.when(F.col("id") == 3, None).when(F.col("id") == 4, "").otherwise(state),
+        })
+        stored = scd2.written(odd, SPEC, "dim")
+        assert stored.schema.simpleString() == odd.schema.simpleString() and rows(stored) == rows(odd)
+        assert scd2.bare(odd, SPEC).where(f"_foreign_{SPEC.hash_key} IS NOT NULL OR _foreign_{SPEC.checksum} IS NOT NULL").count() == 4
+        staged = spark.read.parquet(stored.inputFiles()[0].rsplit("/", 1)[0])
+        assert not {SPEC.hash_key, SPEC.checksum} & set(staged.columns)
+        for some in (dim, odd):
+            new = batch(spark, {i: "ab"[i % 2] for i in range(50)}, date(2024, 9, 1))
+            current = some.where(f"{SPEC.current} = 'Y'")
+            compared = scd2._compared(current, scd2.prepare(new, SPEC), SPEC)
+            packed = compared._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1]
+            assert "_foreign_checksum" in packed
+            out = scd2.apply(some, new, SPEC, compat)
+            with monkeypatch.context() as m:
+                m.setattr(scd2, "fits_broadcast", lambda df: True)
+                assert rows(out) == rows(scd2.apply(some, new, SPEC, compat))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_batch_with_columns_of_another_type(spark, monkeypatch, compat):
+    """A stored checksum is compared as it is where the batch's columns have other types, with and without a shuffle."""
+    dim = load(spark, [{1: "a", 2: "a"}])
+    new = batch(spark, {1: "a", 2: "b", 3: "c"}, date(2024, 9, 1)).withColumn("id", F.col("id").cast("decimal(20,0)"))
+    found = []
+    for fits in (True, False):
+        monkeypatch.setattr(scd2, "fits_broadcast", lambda df, fits=fits: fits)
+        out = scd2.apply(dim, new, SPEC, compat)
+        found.append(rows(out.select(F.col("id").cast("long"), "v", SPEC.checksum, SPEC.start, SPEC.end, ACTION)))
+    assert found[0] == found[1] and {r[-1] for r in found[0]} == {"kept", "closed", "new_version", "new_key"}

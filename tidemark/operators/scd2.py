@@ -54,12 +54,7 @@ def _plain(batch: DataFrame, spec: Scd2Spec) -> DataFrame:
 
 
 def _hashed(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
-    return rows.withColumns(
-        {
-            spec.hash_key: hash_key(rows, spec.keys),
-            spec.checksum: row_checksum(rows, [*spec.keys, *spec.tracked]),
-        }
-    )
+    return rows.withColumns(_own(rows, spec))
 
 
 def _fits(rows: DataFrame, spec: Scd2Spec) -> bool:
@@ -73,8 +68,30 @@ def _packed(digest: str) -> Column:
     return F.when(F.lower(F.hex(value)) == F.col(digest), value)
 
 
-def _text(packed: str, other: str) -> Column:
-    return F.coalesce(F.lower(F.hex(packed)), F.col(other))
+def _foreign(digest: str, own: Column) -> Column:
+    """A digest that is not the one of its row's own columns, in a struct as it may be null; null where it is that one."""
+    return F.when(~F.col(digest).eqNullSafe(own), F.struct(F.col(digest).alias("value")))
+
+
+def _own(rows: DataFrame, spec: Scd2Spec) -> dict[str, Column]:
+    return {spec.hash_key: hash_key(rows, spec.keys), spec.checksum: row_checksum(rows, [*spec.keys, *spec.tracked])}
+
+
+def bare(dim: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """Digests that the row's own columns give are left out, others kept: they are most of a row and do not compress."""
+    foreign = [_foreign(c, own).alias(f"_foreign_{c}") for c, own in _own(dim, spec).items()]
+    return dim.select(*[c for c in dim.columns if c not in (spec.hash_key, spec.checksum)], *foreign)
+
+
+def dressed(rows: DataFrame, spec: Scd2Spec) -> DataFrame:
+    """The rows of :func:`bare` with all digests again."""
+    whole = {c: F.when(F.col(f"_foreign_{c}").isNull(), own).otherwise(F.col(f"_foreign_{c}.value")) for c, own in _own(rows, spec).items()}
+    return rows.withColumns(whole).drop(*[f"_foreign_{c}" for c in whole])
+
+
+def written(dim: DataFrame, spec: Scd2Spec, label: str) -> DataFrame:
+    """The dimension through a table in the shared folder, which holds it as :func:`bare` does."""
+    return dressed(materialize(bare(dim, spec), label, "zstd"), spec).select(*dim.columns)
 
 
 def _open_end(spec: Scd2Spec):
@@ -104,8 +121,8 @@ def apply(dim: DataFrame | None, batch: DataFrame, spec: Scd2Spec, compat: bool
     The batch and the rows to insert are written to the shared folder first:
     the batch is read once from its source, and later steps do not repeat the
     comparison with the dimension.  Both are written and numbered without
-    their hashes, and hashes are shuffled as bytes: as text they are most of a
-    row and hardly compress.
+    their hashes, and the dimension's rows are shuffled without those that
+    their own columns give: they are most of a row and do not compress.
     """
     rows = materialize(_plain(batch, spec), "scd2-batch")
     if dim is None:
@@ -140,20 +157,16 @@ def _compared_small(current: DataFrame, new: DataFrame, spec: Scd2Spec) -> DataF
 
 
 def _compared(current: DataFrame, new: DataFrame, spec: Scd2Spec) -> DataFrame:
-    """The same by a shuffle, in which digests go as bytes; a digest that is no hex goes as it is and matches nothing."""
-    digests = (spec.hash_key, spec.checksum)
-    packed = current.select(
-        *[c for c in spec.columns if c not in digests],
-        _packed(spec.hash_key).alias("_key"),
-        F.when(_packed(spec.hash_key).isNull(), F.col(spec.hash_key)).alias("_other_key"),
-        _packed(spec.checksum).alias("_checksum"),
-        F.when(_packed(spec.checksum).isNull(), F.col(spec.checksum)).alias("_other_checksum"),
-    )
+    """The same by a shuffle, to which keys go as bytes and digests that a row's own columns give are added after it.
+
+    A key that is no hex matches nothing.
+    """
+    packed = bare(current.withColumn("_key", _packed(spec.hash_key)), spec)
     incoming = new.select(
         F.unhex(spec.hash_key).alias("_key"), F.unhex(spec.checksum).alias("_new_checksum"), F.col(spec.start).alias("_new_start")
     )
-    texts = {spec.hash_key: _text("_key", "_other_key"), spec.checksum: _text("_checksum", "_other_checksum")}
-    return packed.join(incoming, "_key", "left").withColumns(texts)
+    met = dressed(packed.join(incoming, "_key", "left"), spec)
+    return met.withColumns({"_checksum": F.col(spec.checksum), "_new_checksum": F.lower(F.hex("_new_checksum"))})
 
 
 def _unknown_rows_small(dim: DataFrame, new: DataFrame, spec: Scd2Spec, compat: bool) -> DataFrame:
@@ -177,17 +190,24 @@ def _unknown_rows(current: DataFrame, history: DataFrame, new: DataFrame, spec:
     """The same for a batch too large to broadcast.
 
     Key and checksum of current rows meet the batch in one shuffle by key, as
-    bytes.  Long histories are reduced before: to one row per key, with
-    ``compat`` to one per state.  Two windows over the same order tell each
-    batch row whether its key and its state are there.
+    bytes; where the columns are of the same types, the row's own columns go
+    in place of the checksum they give, which is longer, and it is made again
+    after the shuffle.  Long histories are reduced before: to one row per key,
+    with ``compat`` to one per state.  Two windows over the same order tell
+    each batch row whether its key and its state are there.
     """
-    key, state = _packed(spec.hash_key).alias("_key"), _packed(spec.checksum).alias("_state")
-    earlier = history.select(key, state if compat else F.lit(None).cast("binary").alias("_state")).distinct()
-    stored = current.select(key, state).unionByName(earlier).where("_key IS NOT NULL").withColumn("_stored", F.lit(True))
-    incoming = new.withColumns(
-        {"_key": F.unhex(spec.hash_key), "_state": F.unhex(spec.checksum), "_stored": F.lit(False)}
-    )
-    met = incoming.drop(spec.hash_key, spec.checksum).unionByName(stored, allowMissingColumns=True)
+    key, state = _packed(spec.hash_key).alias("_key"), _packed(spec.checksum)
+    columns = [*spec.keys, *spec.tracked]
+    earlier = history.select(key, (state if compat else F.lit(None).cast("binary")).alias("_state")).distinct()
+    same_types = all(current.schema[c].dataType == new.schema[c].dataType for c in columns)
+    own = F.col(spec.checksum).eqNullSafe(row_checksum(current, columns)) if same_types else F.lit(False)
+    kept = [F.when(F.col("_own"), F.col(c)).alias(c) for c in columns] if same_types else []
+    stored = current.withColumn("_own", own).select(key, "_own", *kept, F.when(~F.col("_own"), state).alias("_state"))
+    stored = stored.unionByName(earlier.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    stored = stored.where("_key IS NOT NULL").withColumn("_stored", F.lit(True))
+    incoming = new.withColumns({"_key": F.unhex(spec.hash_key), "_own": F.lit(True), "_stored": F.lit(False)})
+    met = incoming.drop(spec.hash_key, spec.checksum).unionByName(stored, allowMissingColumns=True).repartition("_key")
+    met = met.withColumn("_state", F.when(F.col("_own"), F.unhex(row_checksum(new, columns))).otherwise(F.col("_state")))
     known = F.max("_stored").over(Window.partitionBy("_key", "_state"))
     seen = F.max("_stored").over(Window.partitionBy("_key"))
     fresh = met.withColumn("_known", known).withColumn("_seen", seen).where("NOT _stored AND NOT _known")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import keys, scd2, windows
 from tidemark.operators.scd2 import ACTION, Scd2Spec
-from tidemark.session import materialize
 from tidemark.workload.changes import ORDERS_SQL, batch_one, batch_two, target_orders
 from tidemark.workload.registry import query, read, sql_checksum, sql_hash_key
 
@@ -21,7 +20,7 @@ def _dated(batch, day: str):
 def first_dimension(spark, d):
     """The dimension as the first load wrote it; the next load reads that table."""
     dim = scd2.apply(None, _dated(target_orders(spark, d), "2024-01-01"), ORDER_DIM).drop(ACTION)
-    return materialize(dim, "order-dim", "zstd")
+    return scd2.written(dim, ORDER_DIM, "order-dim")
 
 
 def _second(spark, d):
@@ -31,7 +30,7 @@ def _second(spark, d):
 def _three_batches(spark, d, compat: bool):
     first = first_dimension(spark, d)
     second = scd2.apply(first, _dated(batch_one(spark, d), "2024-02-01"), ORDER_DIM, compat)
-    dim = materialize(second.drop(ACTION), "order-dim", "zstd")
+    dim = scd2.written(second.drop(ACTION), ORDER_DIM, "order-dim")
     return scd2.apply(dim, _dated(batch_two(spark, d), "2024-03-01"), ORDER_DIM, compat).drop(ACTION)
 
 
